@@ -1 +1,203 @@
+"""Model training and scoring.  Fits use few iterations; the functions' defaults are larger."""
 
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from sonde.catalog.base import Tables, query
+from sonde.cluster import scratch_path
+from sonde.functions import binary_target, multiclass_target, normal_flag
+from sonde.operators import balance, evaluate, features, impute, models, split, tables
+from sonde.plans import stacking
+from sonde.reference import EVENT_LABELS
+
+CONTINUOUS, CATEGORICAL = ["p_main", "p_aux", "p_sparse"], ["valve_a"]
+SENSORS = [*CONTINUOUS, *CATEGORICAL]
+INPUTS = SENSORS + [f"{s}_missing" for s in SENSORS]
+
+
+def _split(t: Tables):
+    """Observations with flags, fitted fills and both targets, split by series."""
+    df = split.attach_split(t.obs(), split.group_split(t.obs(), "instance", ["label"]),
+                            ["label", "instance"])
+    flagged = tables.missing_flags(df, SENSORS)
+    train = flagged.filter("split = 'train'")
+    fill = impute.Imputer({**impute.fit_continuous(train, CONTINUOUS).values,
+                           **impute.fit_categorical(train, CATEGORICAL).values})
+    ready = features.fit_scaler(fill.transform(train), SENSORS).transform(fill.transform(flagged))
+    ready = ready.withColumns({"target": binary_target(F.col("class")),
+                               "final_class": multiclass_target(F.col("class"))})
+    coded = features.frequency_index(ready.filter("split = 'train'"), "final_class", "y")
+    ready = coded.transform(ready)
+    return ready.filter("split = 'train'"), ready.filter("split = 'test'"), coded
+
+
+def _gbt():
+    return models.gbt(max_iter=2, max_depth=3)
+
+
+def _scored(model, test, target: str):
+    return evaluate.confusion_matrix(model.transform(test), target, "prediction")
+
+
+@query("gbt_per_label")
+def _per_label(t: Tables):
+    train, test, _ = _split(t)
+    fitted = models.fit_per_label(train, INPUTS, EVENT_LABELS, _gbt())
+    scored = models.score_per_label(test, fitted)
+    own = F.coalesce(*[F.when(F.col("label") == k, F.col(f"probability_label_{k}"))
+                       for k in sorted(fitted)])
+    guess = scored.withColumn("guess", (own > 0.5).cast("int")).filter("guess IS NOT NULL")
+    return guess.groupBy("label").agg(
+        F.count("*").alias("n"),
+        F.count(F.when((F.col("target") == 1) & (F.col("guess") == 1), 1)).alias("tp"),
+        F.count(F.when((F.col("target") == 0) & (F.col("guess") == 0), 1)).alias("tn"),
+        F.count(F.when((F.col("target") == 0) & (F.col("guess") == 1), 1)).alias("fp"),
+        F.count(F.when((F.col("target") == 1) & (F.col("guess") == 0), 1)).alias("fn"))
+
+
+@query("score_layer1")
+def _layer_1(t: Tables):
+    train, test, _ = _split(t)
+    fitted = models.fit_per_label(train, INPUTS, EVENT_LABELS, _gbt())
+    return models.score_per_label(test.select("event_id", *INPUTS), fitted).drop(*INPUTS)
+
+
+@query("feature_importance")
+def _importance(t: Tables):
+    train, _, _ = _split(t)
+    fitted = models.fit_per_label(train, INPUTS, EVENT_LABELS, _gbt())
+    return models.feature_importance(t.spark, fitted)
+
+
+@query("rf_multiclass")
+def _forest(t: Tables):
+    train, test, _ = _split(t)
+    return _scored(models.fit_on(train, INPUTS, models.forest(10, 5), "y"), test, "y")
+
+
+@query("mlp_multiclass")
+def _mlp(t: Tables):
+    train, test, coded = _split(t)
+    net = models.perceptron(len(INPUTS), len(coded.labels), max_iter=5)
+    return _scored(models.fit_on(train, INPUTS, net, "y"), test, "y")
+
+
+@query("naive_bayes")
+def _bayes(t: Tables):
+    train, test, _ = _split(t)
+    return _scored(models.fit_on(train, INPUTS, models.gaussian_bayes(), "y"), test, "y")
+
+
+@query("ovr_gbt")
+def _boosted(t: Tables):
+    train, test, _ = _split(t)
+    several = models.boosted_one_vs_rest(max_iter=2, max_depth=3, parallelism=4)
+    return _scored(models.fit_on(train, INPUTS, several, "y"), test, "y")
+
+
+@query("logreg")
+def _logistic(t: Tables):
+    train, test, _ = _split(t)
+    heavy, line = models.weighted(train, "target", models.logistic(10))
+    return _scored(models.fit_on(heavy, INPUTS, line, "target"), test, "target")
+
+
+@query("rf_weighted")
+def _meta_forest(t: Tables):
+    """Base-model probabilities as extra inputs of a forest on balanced rows."""
+    train, test, _ = _split(t)
+    base = models.fit_on(train, INPUTS, models.gaussian_bayes(), "y")
+
+    def with_meta(df):
+        out = base.transform(df).withColumn("_p", vector_to_array("probability"))
+        k = base.stages[-1].numClasses
+        return out.select(*df.columns, *[F.col("_p")[i].alias(f"meta_{i}") for i in range(k)]), k
+
+    (rows, k), (held, _) = with_meta(train), with_meta(test)
+    heavy, trees = models.weighted(rows, "y", models.forest(10, 5))
+    model = models.fit_on(heavy, INPUTS + [f"meta_{i}" for i in range(k)], trees, "y")
+    return _scored(model, held, "y")
+
+
+@query("two_level")
+def _two_level(t: Tables):
+    """Normal or not first; the event type only for rows that look abnormal."""
+    train, test, _ = _split(t)
+    train = train.withColumn("normal", F.coalesce(normal_flag(F.col("class")), F.lit(0)))
+    heavy, line = models.weighted(train, "normal", models.logistic(10))
+    gate = models.fit_on(heavy, INPUTS, line, "normal")
+    kind = models.fit_on(train.filter("normal = 0"), INPUTS, models.forest(5, 4), "label")
+    out = gate.transform(test).select(
+        "event_id", "label", *INPUTS, F.col("prediction").alias("looks_normal"))
+    typed = kind.transform(out)
+    return typed.groupBy("label", F.when(F.col("looks_normal") == 1, -1).otherwise(
+        F.col("prediction").cast("int")).alias("guess")).agg(F.count("*").alias("n"))
+
+
+@query("indexed_forest")
+def _indexed(t: Tables):
+    """Forest on the event label, from indexed and assembled columns."""
+    train, test, _ = _split(t)
+    return _scored(models.fit_on(train, INPUTS, models.forest(5, 4), "label", scale=True), test,
+                   "label")
+
+
+@query("ablation")
+def _ablation(t: Tables):
+    train, test, _ = _split(t)
+    out = None
+    for left_out in ["", *SENSORS]:
+        kept = [f for f in INPUTS if f not in (left_out, f"{left_out}_missing")]
+        model = models.fit_on(train, kept, models.forest(5, 4), "y")
+        scores = evaluate.multiclass_metrics(model.transform(test), "y", "prediction")
+        row = scores.withColumn("left_out", F.lit(left_out or "nothing"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("model_roundtrip", """
+SELECT count(*) AS n_rows, count(*) AS n_same FROM obs WHERE p_main IS NOT NULL""")
+def _roundtrip(t: Tables):
+    """A saved and reloaded model gives the same answer for every row."""
+    df = t.obs().filter("p_main IS NOT NULL").select(
+        "event_id", "p_main", F.coalesce("valve_a", F.lit(0.0)).alias("valve_a"),
+        binary_target(F.col("class")).alias("target"))
+    path, names = scratch_path(t.spark, "model"), ["p_main", "valve_a"]
+    model = models.fit_on(df, names, models.logistic(5), "target", scale=True)
+    models.save_model(model, path)
+    again = models.load_model(path, names)
+    raw = ["raw_features", "features", "rawPrediction", "probability", "prediction"]
+    one = model.transform(df).withColumn("a", vector_to_array("probability")[1]).drop(*raw)
+    both = again.transform(one).withColumn("b", vector_to_array("probability")[1])
+    return both.agg(F.count("*").alias("n_rows"),
+                    F.count(F.when(F.col("a") == F.col("b"), 1)).alias("n_same"))
+
+
+@query("score_stacked")
+def _stacked(t: Tables):
+    df = split.attach_split(t.obs(), split.group_split(t.obs(), "instance", ["label"]),
+                            ["label", "instance"])
+    model = stacking.fit_stacked(
+        df.filter("split = 'train'"), CONTINUOUS, CATEGORICAL, layer_1=_gbt(),
+        layer_2=models.forest(10, 5))
+    return model.transform(t.obs())
+
+
+_WHOLE = "p_main IS NOT NULL AND p_aux IS NOT NULL"
+
+
+@query("smote_minority", f"""
+WITH c AS (SELECT label, count(*) AS n FROM obs WHERE {_WHOLE} GROUP BY label),
+low AS (SELECT label FROM c ORDER BY n, label LIMIT 1)
+SELECT c.label, CASE WHEN c.label = low.label THEN (SELECT max(n) FROM c) ELSE n END AS n_rows,
+  CASE WHEN c.label = low.label THEN (SELECT max(n) FROM c) - n ELSE 0 END AS n_synthetic,
+  (SELECT count(*) FROM obs o WHERE o.label = c.label AND {_WHOLE}) AS n_original
+FROM c, low""")
+def _smote(t: Tables):
+    more = balance.smote_minority(t.obs(), "label", ["p_main", "p_aux"], ["event_id"])
+    made = F.when(F.col("synthetic"), 1)
+    return more.groupBy("label").agg(
+        F.count("*").alias("n_rows"), F.count(made).alias("n_synthetic"),
+        F.count(F.when(~F.col("synthetic"), 1)).alias("n_original"))
