@@ -116,7 +116,7 @@ def auc_pr(df: DataFrame, truth: str, score: str, rows_per_chunk: int | None = N
     ordered = running_total(counts, ["pos", "neg"], [], ["d"], rows_per_chunk)
     tp, fp = F.col("cum_pos"), F.col("cum_neg")
     seen_before = tp + fp - F.col("pos") - F.col("neg")
-    here = tp / (tp + fp)
+    here = F.try_divide(tp, tp + fp)
     before = F.when(seen_before > 0, (tp - F.col("pos")) / seen_before).otherwise(here)
     area = F.sum(F.col("pos") * (here + before) / F.lit(2.0))
     return ordered.agg(F.when(F.sum("pos") > 0, area / F.sum("pos")).alias("auc_pr"))

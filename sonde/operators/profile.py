@@ -28,7 +28,7 @@ def missing_by(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
                digits: int | None = 1, name: str = "missing_pct") -> DataFrame:
     """Percent of null or NaN per group and column: one aggregate for all columns."""
     def share(c: str) -> Column:
-        pct = F.count(F.when(is_missing(df, c), 1)) * F.lit(100.0) / F.count("*")
+        pct = F.try_divide(F.count(F.when(is_missing(df, c), 1)) * F.lit(100.0), F.count("*"))
         return (pct if digits is None else F.round(pct, digits)).alias(c)
 
     one = df.groupBy(*[col(k) for k in keys]).agg(*[share(c) for c in cols])
@@ -139,7 +139,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def share_of(counts: DataFrame, value: str, total: DataFrame, name: str,
              digits: int | None = None, scale: float = 1.0) -> DataFrame:
     """Add ``value`` as a share of ``total``, a table of one row and column."""
-    share = col(value) * F.lit(scale) / total.scalar()
+    share = F.try_divide(col(value) * F.lit(scale), total.scalar())
     return counts.withColumn(name, share if digits is None else F.round(share, digits))
 
 
