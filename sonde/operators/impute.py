@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sonde.cluster import small_side
 from sonde.functions import col, lookup
 from sonde.operators.quantiles import exact_quantiles
-from sonde.operators.series import fill_directions
+from sonde.operators.series import fill_values
 from sonde.reference import TRANSIENT_LABELS
 
 
@@ -87,10 +87,10 @@ def class_repair(df: DataFrame, keys: Sequence[str], order: Sequence[str], klass
     without any class, become 100 + label while the state is 1 and the label has a transient
     phase, and the label otherwise.
     """
-    wide = fill_directions(df, [klass], keys, order, rows_per_chunk)
-    seen, coming = col(f"_f_{klass}"), col(f"_b_{klass}")
+    wide = fill_values(df, [klass], keys, order, rows_per_chunk)
+    seen, first = col(f"_f_{klass}"), col(f"_s_{klass}")
     rule = (
-        F.when(seen.isNull() & coming.isNotNull(), F.lit(0))
+        F.when(seen.isNull() & first.isNotNull(), F.lit(0))
         .when((col(state) == 1) & col(label).isin(TRANSIENT_LABELS), col(label) + 100)
         .otherwise(col(label))
     )

@@ -48,17 +48,12 @@ class Chunked:
     def window(self):
         return Window.partitionBy(*self.part).orderBy(*[col(o) for o in self.order])
 
-    @property
-    def reverse(self):
-        return Window.partitionBy(*self.part).orderBy(*[col(o).desc() for o in self.order])
-
     @property
     def cut_rows(self) -> DataFrame:
         return self.df.filter(col(_CHUNK) >= 0)
 
-    def over_chunks(self, reverse: bool = False):
-        chunk = col(_CHUNK).desc() if reverse else col(_CHUNK)
-        return Window.partitionBy(*[col(k) for k in self.keys]).orderBy(chunk)
+    def over_chunks(self):
+        return Window.partitionBy(*[col(k) for k in self.keys]).orderBy(col(_CHUNK))
 
     def attach(self, df: DataFrame, summary: DataFrame) -> DataFrame:
         """Join a table of one row per chunk of cut series to the rows."""
@@ -125,55 +120,49 @@ def cut_series(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return Chunked(joined.withColumn(_CHUNK, chunk).drop(_CUTS), keys, order, points + series)
 
 
-def fill_directions(df: DataFrame, cols: Sequence[str], keys: Sequence[str],
-                    order: Sequence[str], rows_per_chunk: int | None = None,
-                    forward: bool = True, backward: bool = True) -> DataFrame:
-    """Add ``_f_<c>`` (last value so far) and ``_b_<c>`` (next value) for every column.
+def fill_values(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
+                rows_per_chunk: int | None = None, start: bool = True) -> DataFrame:
+    """Add ``_f_<c>``, the last value so far, and ``_s_<c>``, the first value of the series.
 
-    The backward value is a forward scan in descending order: a frame that ends at the end of
-    the partition would be recomputed for every row.
+    Where there is no value so far, the next value is the first one of the series.  So a backward
+    fill after a forward fill needs no second sort: both frames share one window.
     """
     ch = cut_series(df, keys, order, rows_per_chunk)
     so_far = ch.window.rowsBetween(Window.unboundedPreceding, 0)
-    from_end = ch.reverse.rowsBetween(Window.unboundedPreceding, 0)
-    added = {}
-    if forward:
-        added |= {f"_f_{c}": F.last(col(c), ignorenulls=True).over(so_far) for c in cols}
-    if backward:
-        added |= {f"_b_{c}": F.last(col(c), ignorenulls=True).over(from_end) for c in cols}
+    whole = ch.window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    added = {f"_f_{c}": F.last(col(c), ignorenulls=True).over(so_far) for c in cols}
+    if start:
+        added |= {f"_s_{c}": F.first(col(c), ignorenulls=True).over(whole) for c in cols}
     out = ch.df.withColumns(added)
     if not ch.chunks:
         return out
 
     at = F.struct(*[col(o) for o in order])
+    ends = (("_last_", F.max_by), ("_first_", F.min_by)) if start else (("_last_", F.max_by),)
     edges = ch.cut_rows.groupBy(*ch.part).agg(*[
         pick(col(c), F.when(col(c).isNotNull(), at)).alias(f"{tag}{c}")
-        for c in cols for tag, pick in (("_last_", F.max_by), ("_first_", F.min_by))
-    ])
+        for c in cols for tag, pick in ends])
     before = ch.over_chunks().rowsBetween(Window.unboundedPreceding, -1)
-    after = ch.over_chunks(reverse=True).rowsBetween(Window.unboundedPreceding, -1)
-    carry = edges.select(*ch.part, *[
-        F.last(col(f"_last_{c}"), ignorenulls=True).over(before).alias(f"_prev_{c}") for c in cols
-    ], *[
-        F.last(col(f"_first_{c}"), ignorenulls=True).over(after).alias(f"_next_{c}") for c in cols
-    ])
-    out = ch.attach(out, carry)
-    done = {}
-    if forward:
-        done |= {f"_f_{c}": F.coalesce(col(f"_f_{c}"), col(f"_prev_{c}")) for c in cols}
-    if backward:
-        done |= {f"_b_{c}": F.coalesce(col(f"_b_{c}"), col(f"_next_{c}")) for c in cols}
-    spare = [f"{tag}{c}" for c in cols for tag in ("_prev_", "_next_")]
-    return out.withColumns(done).drop(*spare, _CHUNK)
+    ever = ch.over_chunks().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    carried = {f"_prev_{c}": F.last(col(f"_last_{c}"), ignorenulls=True).over(before)
+               for c in cols}
+    if start:
+        carried |= {f"_start_{c}": F.first(col(f"_first_{c}"), ignorenulls=True).over(ever)
+                    for c in cols}
+    out = ch.attach(out, edges.select(*ch.part, *[e.alias(n) for n, e in carried.items()]))
+    done = {f"_f_{c}": F.coalesce(col(f"_f_{c}"), col(f"_prev_{c}")) for c in cols}
+    if start:
+        # Chunk -1 is an uncut series, whose own first value is the one of the series.
+        done |= {f"_s_{c}": F.coalesce(col(f"_start_{c}"), col(f"_s_{c}")) for c in cols}
+    return out.withColumns(done).drop(*carried, _CHUNK)
 
 
 def ffill_bfill(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
-                rows_per_chunk: int | None = None, forward: bool = True,
-                backward: bool = True) -> DataFrame:
+                rows_per_chunk: int | None = None, backward: bool = True) -> DataFrame:
     """Fill nulls with the last earlier value of the series, then with the next later one."""
     cols = list(cols)
-    wide = fill_directions(df, cols, keys, order, rows_per_chunk, forward, backward)
-    tags = (["_f_"] if forward else []) + (["_b_"] if backward else [])
+    wide = fill_values(df, cols, keys, order, rows_per_chunk, start=backward)
+    tags = ["_f_", "_s_"] if backward else ["_f_"]
     return wide.select(*[
         F.coalesce(*[col(f"{t}{c}") for t in tags]).alias(c) if c in cols else col(c)
         for c in df.columns

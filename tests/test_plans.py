@@ -16,10 +16,10 @@ def test_filter_reaches_the_scan(spark):
     assert "EqualTo(l_returnflag,R)" in plan
 
 
-def test_fill_shuffles_once(spark):
+def test_fill_shuffles_and_sorts_once(spark):
     plan = plan_of(entry.queries()["ffill_bfill"](spark, FOLDER))
     assert plan.count("Exchange") == 1
-    assert "unboundedfollowing" not in plan
+    assert plan.count("Sort [") == 1
 
 
 def test_scoring_columns_are_pruned(tables):
