@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from sonde.catalog.base import Tables, query
-from sonde.cluster import scratch_path
+from sonde.cluster import scratch_path, staged
 from sonde.functions import binary_target, multiclass_target, normal_flag
 from sonde.operators import balance, evaluate, features, impute, models, split, tables
 from sonde.plans import stacking
@@ -21,6 +21,8 @@ def _split(t: Tables):
     """Observations with flags, fitted fills and both targets, split by series."""
     df = split.attach_split(t.obs(), split.group_split(t.obs(), "instance", ["label"]),
                             ["label", "instance"])
+    # Four fits and the models read it: written once, in as many parts as there are cores.
+    df = staged(df.repartition(t.spark.sparkContext.defaultParallelism, "instance", "event_id"))
     flagged = tables.missing_flags(df, SENSORS)
     train = flagged.filter("split = 'train'")
     fill = impute.Imputer({**impute.fit_continuous(train, CONTINUOUS).values,
@@ -181,7 +183,7 @@ def _stacked(t: Tables):
                             ["label", "instance"])
     model = stacking.fit_stacked(
         df.filter("split = 'train'"), CONTINUOUS, CATEGORICAL, layer_1=_gbt(),
-        layer_2=models.forest(10, 5))
+        layer_2=models.forest(10, 5), partitions=t.spark.sparkContext.defaultParallelism)
     return model.transform(t.obs())
 
 

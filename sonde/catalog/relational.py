@@ -67,26 +67,24 @@ def _partial(t: Tables):
 
 @query("load_instances", """
 WITH listed AS (
-  SELECT data_type, instance,
+  SELECT data_type, label, well,
     CASE data_type WHEN 'Real' THEN 1 WHEN 'Simulated' THEN 2 ELSE 3 END AS place
-  FROM obs GROUP BY data_type, instance),
+  FROM obs GROUP BY data_type, label, well),
 numbered AS (
-  SELECT data_type, instance,
-    row_number() OVER (ORDER BY place, concat('series=', instance)) - 1 AS n FROM listed)
+  SELECT data_type, label, well, row_number() OVER (ORDER BY place, label, well) - 1 AS n
+  FROM listed)
 SELECT o.data_type AS "DataType", n AS "Instance", count(*) AS n_rows,
-  round(sum(p_main), 6) AS total
-FROM obs o JOIN numbered m ON o.data_type = m.data_type AND o.instance = m.instance
-GROUP BY o.data_type, n""")
+  round(sum(p_main), 4) AS total
+FROM obs o JOIN numbered m USING (data_type, label, well) GROUP BY o.data_type, n""")
 def _load(t: Tables):
     root = scratch_path(t.spark, "instances")
-    kept = t.obs().select("event_id", "p_main", "data_type",
-                          F.concat(F.lit("series="), F.col("instance")).alias("file"))
-    # One folder, and so one file, per series.
-    write_partitioned(kept, root, ["data_type", "file"])
+    kept = t.obs().select("event_id", "p_main", "data_type", "label", "well")
+    # One folder, and so one file, per recording.
+    write_partitioned(kept, root, ["data_type", "label", "well"])
     body = kept.select("event_id", "p_main").schema
     loaded = load_instances(t.spark, {s: f"{root}/data_type={s}" for s in SOURCES}, body)
     return loaded.groupBy("DataType", "Instance").agg(
-        F.count("*").alias("n_rows"), F.round(F.sum("p_main"), 6).alias("total"))
+        F.count("*").alias("n_rows"), F.round(F.sum("p_main"), 4).alias("total"))
 
 
 @query("literal_event_table", """

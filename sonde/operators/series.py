@@ -22,6 +22,7 @@ from sonde.functions import col, lookup
 ROWS_PER_CHUNK = 1_000_000
 MAX_CHUNKS = 100_000
 SAMPLES_PER_CHUNK = 32
+FEW_CUTS = 32
 
 _CHUNK = "_chunk"
 _CUTS = "_cuts"
@@ -62,8 +63,15 @@ class Chunked:
         return lookup(df, summary, self.keys + [_CHUNK])
 
 
-def _cuts_at_or_before(cuts: Column, point: Column, steps: int) -> Column:
-    """Number of cut points that are not after ``point``, by bisection of the sorted array."""
+def _cuts_at_or_before(cuts: Column, point: Column, longest: int) -> Column:
+    """Number of cut points that are not after ``point``.
+
+    A few cuts are compared one by one in generated code, many by bisection of the sorted array.
+    """
+    if longest <= FEW_CUTS:
+        return sum((F.coalesce(F.get(cuts, F.lit(i)) <= point, F.lit(False)).cast("int")
+                    for i in range(longest)), F.lit(0))
+    steps = math.ceil(math.log2(longest + 1)) + 1
     start = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
 
     def halve(state, _):
@@ -109,14 +117,13 @@ def cut_series(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     points, series, longest = (found[0] or 0), found[1], (found[2] or 0)
     if points == 0:
         return Chunked(df, keys, order, 0)
-    steps = math.ceil(math.log2(longest + 1)) + 1
     if keys:
         side = F.broadcast(cuts) if points <= BROADCAST_ROWS else cuts
         joined = lookup(df, side, keys)
     else:
         joined = df.withColumn(_CUTS, cuts.select(_CUTS).scalar())
     chunk = F.when(F.col(_CUTS).isNull(), F.lit(-1)).otherwise(
-        _cuts_at_or_before(F.col(_CUTS), point, steps))
+        _cuts_at_or_before(F.col(_CUTS), point, longest))
     return Chunked(joined.withColumn(_CHUNK, chunk).drop(_CUTS), keys, order, points + series)
 
 

@@ -96,11 +96,12 @@ def _prepare(df: DataFrame, sensors: Sequence[str], fill: dict, scaler: feats.Sc
 
 def fit_stacked(train: DataFrame, continuous: Sequence[str], categorical: Sequence[str],
                 labels: Sequence[int] = EVENT_LABELS, layer_1: Estimator | None = None,
-                layer_2: Estimator | None = None, label: str = "label", klass: str = "class"
-                ) -> StackedModel:
+                layer_2: Estimator | None = None, label: str = "label", klass: str = "class",
+                partitions: int | None = None) -> StackedModel:
     """Fit fills, scaling, the label models and the final model on training rows.
 
-    Only the model inputs are cached while the models iterate over them.
+    Only the model inputs are cached while the models iterate over them.  ``partitions`` spreads
+    them anew where the scan gives fewer partitions than there are cores.
     """
     sensors = [*continuous, *categorical]
     fill = {**impute.fit_continuous(train, continuous).values,
@@ -112,9 +113,12 @@ def fit_stacked(train: DataFrame, continuous: Sequence[str], categorical: Sequen
     inputs = _inputs(sensors)
     ready = _prepare(train, sensors, fill, scaler).select(
         col(label), *inputs, binary_target(col(klass)).alias("target"),
-        multiclass_target(col(klass)).alias("final_class")).persist(StorageLevel.MEMORY_AND_DISK)
+        multiclass_target(col(klass)).alias("final_class"))
+    if partitions:
+        ready = ready.repartition(partitions)
+    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        first = models.fit_per_label(ready, inputs, labels, layer_1, label, "target")
+        first = models.fit_per_label(ready, inputs, labels, layer_1, label, "target", cache=False)
         scored = models.score_per_label(ready, first, PREFIX)
         indexer = feats.frequency_index(ready, "final_class", "indexed_class")
         second = models.fit_on(

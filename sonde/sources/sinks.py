@@ -19,12 +19,14 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str],
     """Write one folder per value of ``by``.
 
     Rows are spread by (values, salt), so that a hot value is written by ``files_per_value``
-    tasks and a rare one does not leave a file per upstream task.  ``only_touched`` replaces
-    just the folders that occur in ``df``.
+    tasks and a rare one does not leave a file per upstream task.  The number of tasks is fixed:
+    many small folders would otherwise be merged into one writer.  ``only_touched`` replaces just
+    the folders that occur in ``df``.
     """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.pmod(F.xxhash64(*[col(c) for c in df.columns]), F.lit(files_per_value))
     mode = "dynamic" if only_touched else "static"
-    (df.repartition(*[col(c) for c in by], salt).write.mode("overwrite")
+    (df.repartition(tasks, *[col(c) for c in by], salt).write.mode("overwrite")
        .option("partitionOverwriteMode", mode).partitionBy(*by).parquet(path))
 
 
