@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sonde.catalog.base import OBS_COLUMNS, Tables, query
 from sonde.functions import col
-from sonde.operators import profile, series, tables
+from sonde.operators import profile, tables
 from sonde.reference import SOURCES
 
 _SENSORS = ["p_main", "p_aux", "p_sparse", "valve_a", "empty_a"]
@@ -288,8 +288,7 @@ def _intervals(t: Tables):
 SELECT instance, start_ts, row_number() OVER (ORDER BY start_ts, instance) - 1 AS position
 FROM (SELECT instance, min(ts) AS start_ts FROM obs GROUP BY instance) q""")
 def _positions(t: Tables):
-    spans = t.obs().groupBy("instance").agg(F.min("ts").alias("start_ts"))
-    return series.position(spans, [], ["start_ts", "instance"])
+    return profile.instance_positions(t.obs(), "instance", "ts")
 
 
 @query("interval_by_id_label", """

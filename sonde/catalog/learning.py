@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import Imputer as MlImputer
+from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from sonde.catalog.base import Tables, query
 from sonde.cluster import scratch_path, staged
 from sonde.functions import binary_target, multiclass_target, normal_flag
-from sonde.operators import balance, evaluate, features, impute, models, split, tables
+from sonde.operators import (
+    balance, evaluate, features, impute, models, series, split, tables)
 from sonde.plans import stacking
 from sonde.reference import EVENT_LABELS
 
@@ -140,10 +144,21 @@ def _two_level(t: Tables):
 
 @query("indexed_forest")
 def _indexed(t: Tables):
-    """Forest on the event label, from indexed and assembled columns."""
-    train, test, _ = _split(t)
-    return _scored(models.fit_on(train, INPUTS, models.forest(5, 4), "label", scale=True), test,
-                   "label")
+    """One chain of stages on the label: indexed wells and lags, fills, scaling, forest."""
+    df = series.lag_features(t.obs(), "well", 3, [], ["ts", "event_id"])
+    df = split.hash_split(df, ["event_id"])
+    text = ["well", *[f"well_lag{k}" for k in (1, 2, 3)]]
+    coded, filled = [f"{c}_index" for c in text], [f"{c}_imputed" for c in SENSORS]
+    chain = Pipeline(stages=[
+        StringIndexer(inputCols=text, outputCols=coded, handleInvalid="keep"),
+        StringIndexer(inputCol="label", outputCol="label_index", handleInvalid="keep"),
+        MlImputer(inputCols=SENSORS, outputCols=filled, strategy="mean"),
+        VectorAssembler(inputCols=[*coded, *filled], outputCol="raw_features"),
+        StandardScaler(inputCol="raw_features", outputCol="features"),
+        models.forest(5, 4).setLabelCol("label_index"),
+    ])
+    model = chain.fit(df.filter("split = 'train'"))
+    return _scored(model, df.filter("split = 'test'"), "label_index")
 
 
 @query("ablation")

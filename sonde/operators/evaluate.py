@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sonde.cluster import staged
 from sonde.functions import col
 from sonde.operators.series import running_total
 
@@ -91,10 +92,13 @@ def accuracy_by_group(df: DataFrame, group: str, truth: str, guess: str) -> Data
 
 
 def _score_counts(df: DataFrame, truth: str, score: str) -> DataFrame:
-    """Positives and negatives per distinct score: equal scores meet before any ordering."""
-    return df.groupBy(col(score).alias("s")).agg(
+    """Positives and negatives per distinct score: equal scores meet before any ordering.
+
+    The table is written once, because ordering reads it several times.
+    """
+    return staged(df.groupBy(col(score).cast("double").alias("s")).agg(
         F.count(F.when(col(truth) == 1, 1)).alias("pos"),
-        F.count(F.when(col(truth) == 0, 1)).alias("neg"))
+        F.count(F.when(col(truth) == 0, 1)).alias("neg")))
 
 
 def auc_roc(df: DataFrame, truth: str, score: str, rows_per_chunk: int | None = None
@@ -112,7 +116,7 @@ def auc_roc(df: DataFrame, truth: str, score: str, rows_per_chunk: int | None =
 
 def auc_pr(df: DataFrame, truth: str, score: str, rows_per_chunk: int | None = None) -> DataFrame:
     """Area under precision over recall, by trapezoids; the first point is extended to recall 0."""
-    counts = _score_counts(df, truth, score).withColumn("d", -F.col("s").cast("double"))
+    counts = _score_counts(df, truth, score).withColumn("d", -F.col("s"))
     ordered = running_total(counts, ["pos", "neg"], [], ["d"], rows_per_chunk)
     tp, fp = F.col("cum_pos"), F.col("cum_neg")
     seen_before = tp + fp - F.col("pos") - F.col("neg")

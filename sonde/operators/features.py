@@ -9,7 +9,7 @@ from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sonde.cluster import small_side
+from sonde.cluster import checkpointed, small_side
 from sonde.functions import col, lookup
 from sonde.operators.series import position
 
@@ -57,8 +57,8 @@ def frequency_index(df: DataFrame, column: str, name: str) -> StringIndexerModel
 
 def label_codes(df: DataFrame, column: str, name: str = "code") -> DataFrame:
     """Distinct values in sorted order with codes 0, 1, ..: the map and, read back, its inverse."""
-    return position(df.select(col(column)).filter(col(column).isNotNull()).distinct(), [],
-                    [column], name)
+    known = df.select(col(column)).filter(col(column).isNotNull()).distinct()
+    return position(checkpointed(known), [], [column], name)
 
 
 def label_encode(df: DataFrame, column: str, name: str = "code") -> DataFrame:

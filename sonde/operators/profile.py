@@ -11,9 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sonde.cluster import BROADCAST_ROWS, checkpointed, small_side
+from sonde.cluster import BROADCAST_ROWS, checkpointed, small_side, staged
 from sonde.functions import col, is_missing, key_or_unknown, lookup, value_type
 from sonde.operators.quantiles import exact_quantiles
+from sonde.operators.series import position
 from sonde.operators.tables import numeric_columns
 
 DISTINCT_PER_PASS = 10
@@ -276,6 +277,12 @@ def instance_intervals(df: DataFrame, series: str, ts: str) -> DataFrame:
         "year": F.year("start_ts").cast("bigint")})
 
 
+def instance_positions(df: DataFrame, series: str, ts: str, name: str = "position") -> DataFrame:
+    """Place of every series by its first instant, counted from 0."""
+    spans = df.groupBy(col(series)).agg(F.min(col(ts)).alias("start_ts"))
+    return position(staged(spans), [], ["start_ts", series], name)
+
+
 def retention_report(before: DataFrame, after: DataFrame, series: str, klass: str) -> DataFrame:
     """Distinct series before and after cleaning, and those left with a null class."""
     sides = before.select(F.lit("before").alias("stage"), col(series), col(klass)).unionByName(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sonde.cluster import staged
 from sonde.functions import col
 from sonde.operators.series import running_total
 
@@ -20,7 +21,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     """
     long = df.select(*[col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], [col(c) for c in cols], "Tag", "v").filter("v IS NOT NULL AND NOT isnan(v)")
-    counts = long.groupBy("Tag", "v").agg(F.count("*").alias("n"))
+    # Counted once and written: the passes below read it several times.
+    counts = staged(long.groupBy("Tag", "v").agg(F.count("*").alias("n")))
     ranked = running_total(counts, ["n"], ["Tag"], ["v"], rows_per_chunk)
     totals = counts.groupBy("Tag").agg(F.sum("n").alias("_total"))
     place = F.transform(F.array(*[F.lit(float(p)) for p in probs]),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sonde.cluster import small_side
+from sonde.cluster import checkpointed, small_side
 from sonde.functions import col, lookup
 from sonde.operators.series import position
 
@@ -43,7 +43,7 @@ def number_instances(df: DataFrame, source: str, source_order: Sequence[str],
     The list of series is one small row each, so it is ranked by source and looked up again.
     """
     place = F.array_position(F.array(*[F.lit(s) for s in source_order]), col(source))
-    listed = df.select(col(source), col(series)).distinct()
+    listed = checkpointed(df.select(col(source), col(series)).distinct())
     ranked = position(listed.withColumn("_place", place), [], ["_place", series], name)
     return lookup(df, small_side(ranked.drop("_place")), [source, series])
 

@@ -30,9 +30,10 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str],
        .option("partitionOverwriteMode", mode).partitionBy(*by).parquet(path))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Export a report.  Reports are aggregates, so one file is enough."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV export.  ``single_file`` is for reports, which are a few rows each."""
+    out = df.coalesce(1) if single_file else df
+    out.write.mode("overwrite").option("header", True).csv(path)
 
 
 def append_metrics(spark: SparkSession, path: str, run: str, kind: str,
