@@ -45,7 +45,7 @@ GROUP BY label, instance""")
 def _partitioned(t: Tables):
     path = scratch_path(t.spark, "obs-by-label")
     kept = t.obs().select("event_id", "p_main", "instance", "label")
-    write_partitioned(kept, path, ["label"], files_per_value=4)
+    write_partitioned(kept, path, ["label"])
     return scan_parquet(t.spark, path, kept.schema).groupBy("label", "instance").agg(
         F.count("*").alias("n"), F.round(F.sum("p_main"), 6).alias("total"))
 
@@ -56,10 +56,10 @@ FROM obs GROUP BY label""")
 def _partial(t: Tables):
     path = scratch_path(t.spark, "obs-rework")
     kept = t.obs().select("event_id", "p_main", "label")
-    write_partitioned(kept, path, ["label"], files_per_value=4)
+    write_partitioned(kept, path, ["label"])
     stored = scan_parquet(t.spark, path, kept.schema)
     again = read_partitions(kept, "label", [3, 7]).withColumn("p_main", F.col("p_main") * 10)
-    write_partitioned(again, path, ["label"], only_touched=True, files_per_value=4)
+    write_partitioned(again, path, ["label"], only_touched=True)
     t.spark.catalog.refreshByPath(path)
     stored = scan_parquet(t.spark, path, kept.schema)
     return stored.groupBy("label").agg(F.round(F.sum("p_main"), 4).alias("total"))
@@ -79,7 +79,7 @@ FROM obs o JOIN numbered m USING (data_type, label, well) GROUP BY o.data_type,
 def _load(t: Tables):
     root = scratch_path(t.spark, "instances")
     kept = t.obs().select("event_id", "p_main", "data_type", "label", "well")
-    # One folder, and so one file, per recording.
+    # One folder per recording.
     write_partitioned(kept, root, ["data_type", "label", "well"])
     body = kept.select("event_id", "p_main").schema
     loaded = load_instances(t.spark, {s: f"{root}/data_type={s}" for s in SOURCES}, body)

@@ -114,15 +114,16 @@ def _report(t: Tables):
 
 
 @query("missing_classes", f"""
-WITH j AS (SELECT class, split FROM obs JOIN ({_DISJOINT}) s USING (instance)
-  WHERE class IS NOT NULL AND label > 6)
-SELECT class, CASE max(split) WHEN 'train' THEN 'test' ELSE 'train' END AS missing_in FROM j
-GROUP BY class HAVING count(DISTINCT split) = 1""")
+WITH j AS (SELECT well || '/' || class AS well_class, split FROM obs
+  JOIN ({_DISJOINT}) s USING (instance) WHERE class IS NOT NULL)
+SELECT well_class, CASE max(split) WHEN 'train' THEN 'test' ELSE 'train' END AS missing_in FROM j
+GROUP BY well_class HAVING count(DISTINCT split) = 1""")
 def _missing(t: Tables):
-    df = t.obs().filter("class IS NOT NULL")
+    """Classes of a well that only one side of the split has seen."""
+    df = t.obs().filter("class IS NOT NULL").withColumn(
+        "well_class", F.concat_ws("/", "well", "class"))
     splits = split.disjoint_group_split(df, "instance", "class")
-    return evaluate.missing_classes(
-        split.attach_split(df.filter("label > 6"), splits, ["instance"]), "class")
+    return evaluate.missing_classes(split.attach_split(df, splits, ["instance"]), "well_class")
 
 
 @query("class_weights", """

@@ -176,17 +176,24 @@ def data_overview(df: DataFrame, series: str) -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int = 6,
-                     rows_per_chunk: int | None = None) -> DataFrame:
-    """Count, mean, sample deviation, min, quartiles and max: one row per column."""
+                     rows_per_chunk: int | None = None, exact: bool = True) -> DataFrame:
+    """Count, mean, sample deviation, min, quartiles and max: one row per column.
+
+    Exact quartiles count every distinct value; approximate ones ride on the same aggregate.
+    """
     stats = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    if not exact:
+        stats |= {f"q{i}": (lambda c, p=p: F.percentile_approx(c, p, 10_000))
+                  for i, p in enumerate((0.25, 0.5, 0.75))}
     packed = df.agg(*[
         F.struct(*[f(col(c)).cast("double").alias(s) for s, f in stats.items()]).alias(c)
         for c in cols
     ])
-    moments = _long(packed, [], cols, "s").select("Tag", "s.*")
-    quartiles = exact_quantiles(df, cols, [0.25, 0.5, 0.75], rows_per_chunk)
-    joined = moments.join(F.broadcast(quartiles), "Tag", "left")  # one row per column
-    return joined.select("Tag", F.col("count").cast("bigint").alias("n"), *[
+    rows = _long(packed, [], cols, "s").select("Tag", "s.*")
+    if exact:
+        quartiles = exact_quantiles(df, cols, [0.25, 0.5, 0.75], rows_per_chunk)
+        rows = rows.join(F.broadcast(quartiles), "Tag", "left")  # one row per column
+    return rows.select("Tag", F.col("count").cast("bigint").alias("n"), *[
         F.round(F.col(c), digits).alias(o) for c, o in (
             ("mean", "mean"), ("std", "std"), ("min", "min"), ("q0", "p25"), ("q1", "p50"),
             ("q2", "p75"), ("max", "max"))])

@@ -91,7 +91,8 @@ def cut_series(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     every row whose hash falls in a fixed residue class is a sample, and every 32nd sample of a
     series, in order, is a cut point.  Samples only choose where to cut: every row is kept.  The
     hash depends on the row alone, so a lost task recomputes the same chunks.  The chunk size
-    grows with the table so that there are at most about 100,000 cut points.
+    grows with the table so that there are at most about 100,000 cut points.  Rows that tie on
+    the whole order stay together, so the order should end in a unique column.
     """
     keys, order = list(keys), list(order)
     total = df.count()

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sonde.functions import col
 
@@ -15,18 +14,15 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str],
-                      only_touched: bool = False, files_per_value: int = 1) -> None:
+                      only_touched: bool = False) -> None:
     """Write one folder per value of ``by``.
 
-    Rows are spread by (values, salt), so that a hot value is written by ``files_per_value``
-    tasks and a rare one does not leave a file per upstream task.  The number of tasks is fixed:
-    many small folders would otherwise be merged into one writer.  ``only_touched`` replaces just
-    the folders that occur in ``df``.
+    The rebalance hint gathers rare values into common tasks and splits a hot value by size, so
+    neither many small files nor one endless writer comes of skew.  ``only_touched`` replaces
+    just the folders that occur in ``df``.
     """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.pmod(F.xxhash64(*[col(c) for c in df.columns]), F.lit(files_per_value))
     mode = "dynamic" if only_touched else "static"
-    (df.repartition(tasks, *[col(c) for c in by], salt).write.mode("overwrite")
+    (df.hint("rebalance", *[col(c) for c in by]).write.mode("overwrite")
        .option("partitionOverwriteMode", mode).partitionBy(*by).parquet(path))
 
 

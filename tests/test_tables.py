@@ -125,6 +125,15 @@ def test_exact_quantiles(spark, size):
         assert [got[name][f"q{j}"] for j in range(5)] == pytest.approx(list(want))
 
 
+def test_describe_exact_and_approximate(spark):
+    df = spark.createDataFrame([(float(v), None) for v in range(101)], "v double, e double")
+    for exact in (True, False):
+        got = {r["Tag"]: r for r in profile.describe_numeric(df, ["v", "e"], exact=exact).collect()}
+        assert [got["v"][c] for c in ("n", "mean", "min", "p25", "p50", "p75", "max")] == [
+            101, 50.0, 0.0, 25.0, 50.0, 75.0, 100.0]
+        assert got["e"]["n"] == 0 and got["e"]["p50"] is None
+
+
 def test_histogram_of_one_value(spark):
     df = spark.createDataFrame([("g", 2.0), ("g", 2.0), ("g", None)], "g string, v double")
     rows = profile.histogram_bins(df, ["v"], "g", 30).collect()
