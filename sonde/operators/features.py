@@ -74,7 +74,8 @@ def one_hot(df: DataFrame, code: str, width: int, name: str = "one_hot") -> Data
 
 def class_weights(df: DataFrame, klass: str, name: str = "weight") -> DataFrame:
     """Balanced weight n / (classes * rows of the class): one row per class."""
-    counts = df.filter(col(klass).isNotNull()).groupBy(col(klass)).agg(F.count("*").alias("n"))
+    counts = checkpointed(df.filter(col(klass).isNotNull()).groupBy(col(klass)).agg(
+        F.count("*").alias("n")))
     total = counts.agg((F.sum("n") / F.count("*")).alias("t")).scalar()
     return counts.withColumn(name, total / F.col("n"))
 

@@ -145,7 +145,8 @@ def share_of(counts: DataFrame, value: str, total: DataFrame, name: str,
 
 
 def class_distribution(df: DataFrame, column: str) -> DataFrame:
-    return share_of(value_counts(df, column), "n", df.agg(F.count("*")), "share")
+    counts = checkpointed(value_counts(df, column))
+    return share_of(counts, "n", counts.agg(F.sum("n")), "share")
 
 
 def value_counts_by_source(df: DataFrame, column: str, source: str, values: Sequence[str]
@@ -158,9 +159,9 @@ def value_counts_by_source(df: DataFrame, column: str, source: str, values: Sequ
 
 def source_share(df: DataFrame, source: str, series: str) -> DataFrame:
     """Share of rows and of series by source, in whole percent."""
-    counts = df.groupBy(col(source)).agg(
-        F.count("*").alias("n_rows"), F.countDistinct(col(series)).alias("n_ids"))
-    with_rows = share_of(counts, "n_rows", df.agg(F.count("*")), "row_pct", 0, 100.0)
+    counts = checkpointed(df.groupBy(col(source)).agg(
+        F.count("*").alias("n_rows"), F.countDistinct(col(series)).alias("n_ids")))
+    with_rows = share_of(counts, "n_rows", counts.agg(F.sum("n_rows")), "row_pct", 0, 100.0)
     return share_of(with_rows, "n_ids", counts.agg(F.sum("n_ids")), "id_pct", 0, 100.0)
 
 

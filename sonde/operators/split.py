@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sonde.cluster import small_side
+from sonde.cluster import small_side, staged
 from sonde.functions import col, lookup, md5_of
 
 BUCKET_DIGITS = 4  # 65,536 buckets per stratum
@@ -20,7 +20,10 @@ BUCKET_DIGITS = 4  # 65,536 buckets per stratum
 
 def hash_rank(df: DataFrame, strata: Sequence[str], key: Sequence[str], seed: int = 42,
               digits: int = BUCKET_DIGITS) -> DataFrame:
-    """Add ``_rank`` (1-based, in md5 order inside the stratum) and ``_size`` (of the stratum)."""
+    """Add ``_rank`` (1-based, in md5 order inside the stratum) and ``_size`` (of the stratum).
+
+    ``df`` is read twice, for the bucket sizes and for the ranks.
+    """
     marked = df.withColumns({"_h": md5_of(key, seed)})
     marked = marked.withColumn("_bucket", F.substring("_h", 1, digits))
     by = [col(s) for s in strata]
@@ -51,7 +54,7 @@ def group_split(df: DataFrame, key: str, strata: Sequence[str] = (), ratio: floa
                 small: int = 4, seed: int = 42) -> DataFrame:
     """One row per series with its ``split``; a series is never in both."""
     series = df.select(*[col(s) for s in strata], col(key)).distinct()
-    ranked = hash_rank(series, strata, [key], seed)
+    ranked = hash_rank(staged(series), strata, [key], seed)
     return ranked.select(*[col(s) for s in strata], col(key), split_of_rank(
         F.col("_rank"), F.col("_size"), ratio, small).alias("split"))
 
@@ -77,7 +80,7 @@ def disjoint_group_split(df: DataFrame, key: str, klass: str, ratio: float = 0.8
     already placed were skipped.  A class with a single new series gives it to train.
     """
     first = df.groupBy(col(key)).agg(F.min(col(klass)).alias("first_class"))
-    ranked = hash_rank(first, ["first_class"], [key], seed)
+    ranked = hash_rank(staged(first), ["first_class"], [key], seed)
     rank, size = F.col("_rank"), F.col("_size")
     test = F.ceil(size * F.lit(round(1 - ratio, 10)))
     return ranked.select(col(key), "first_class", F.when(
@@ -90,7 +93,8 @@ def three_way_split(df: DataFrame, key: str, klass: str, ratio: float = 0.8, see
 
     The same series may occur in several classes and so in several splits.
     """
-    ranked = hash_rank(df.select(col(klass), col(key)).distinct(), [klass], [key], seed)
+    members = staged(df.select(col(klass), col(key)).distinct())
+    ranked = hash_rank(members, [klass], [key], seed)
     share = F.lit(round(1 - ratio, 10))
     size = F.col("_size")
     n_test = F.ceil(size * share)
