@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sonde.cluster import checkpointed, small_side
+from sonde.cluster import checkpointed, small_side, staged
 from sonde.functions import col
 from sonde.operators.series import cut_series
 from sonde.operators.split import hash_rank
@@ -23,36 +24,50 @@ def _squared_distance(a: Column, b: Column, d: int) -> Column:
     return total
 
 
+def _on_curve(points: DataFrame, cuts: Sequence[Sequence[float]], bits: int) -> DataFrame:
+    """Add ``_z``, the place on a Z-order curve: the bits of the coordinates' ranks, interleaved."""
+    d = len(cuts)
+    ends = [[float("-inf"), *axis, float("inf")] for axis in cuts]
+    ranks = Bucketizer(splitsArray=ends, inputCols=[f"_v{i}" for i in range(d)],
+                       outputCols=[f"_r{i}" for i in range(d)])
+    ranked = ranks.transform(points.withColumns({f"_v{i}": F.col("x")[i] for i in range(d)}))
+    place = F.lit(0).cast("bigint")
+    for i in range(d):
+        rank = F.col(f"_r{i}").cast("bigint")
+        for b in range(bits):
+            bit = F.shiftright(rank, b).bitwiseAND(F.lit(1).cast("bigint"))
+            place = place + F.shiftleft(bit, b * d + i)
+    return ranked.select("x", "m", place.alias("_z"))
+
+
 def nearest_points(points: DataFrame, d: int, k: int = 5, rows_per_chunk: int | None = None
                    ) -> DataFrame:
     """The exact ``k`` nearest other points of every point, without comparing all pairs.
 
     ``points`` has distinct arrays ``x`` of ``d`` numbers and their multiplicity ``m``.
 
-    1. The points are sorted by strip of the widest axis and then along the next axis.  The k-th
-       best of the 2k points around a point in that order bounds the distance of its k-th
+    1. The points are sorted along a Z-order curve over equal-count steps of every axis.  The
+       k-th best of the 4k points around a point on the curve bounds the distance of its k-th
        neighbour from above.
     2. Every point searches a grid whose cells are at least as wide as its own bound, so its
        neighbours lie in its cell or in the ones next to it.  Dense regions have small bounds
        and therefore fine grids.  Only pairs within the bound are kept and ranked.
     """
-    spans = points.agg(F.count("*").alias("n"), *[
+    bits = min(10, 60 // d) or 1
+    steps = [(i + 1) / 2 ** bits for i in range(2 ** bits - 1)]
+    spans = points.agg(*[
         f(F.col("x")[i]).alias(f"{tag}{i}") for i in range(d)
-        for tag, f in (("lo", F.min), ("hi", F.max), ("sd", F.stddev_pop))
+        for tag, f in (("lo", F.min), ("hi", F.max), ("sd", F.stddev_pop),
+                       ("cut", lambda c: F.percentile_approx(c, steps, 10_000)))
     ]).first()
-    n = spans["n"]
-    axes = sorted(range(d), key=lambda i: -(spans[f"sd{i}"] or 0.0))[:2]
+    axes = sorted(range(d), key=lambda i: -(spans[f"sd{i}"] or 0.0))[:3]
     reach = math.sqrt(sum((spans[f"hi{i}"] - spans[f"lo{i}"]) ** 2 for i in range(d))) or 1.0
 
-    first, last = axes[0], axes[-1]
-    strips = max(1, int(math.sqrt(n)))
-    width = (spans[f"hi{first}"] - spans[f"lo{first}"]) / strips or 1.0
-    strip = F.floor((F.col("x")[first] - F.lit(spans[f"lo{first}"])) / F.lit(width))
-    placed = points.withColumns({
-        "_s": strip if d > 1 else F.lit(0).cast("bigint"), "_y": F.col("x")[last]})
-    ch = cut_series(placed, [], ["_s", "_y", "x"], rows_per_chunk)
-    around = ch.window.rowsBetween(-k, k)
-    near = F.array_sort(F.transform(F.collect_list("x").over(around),
+    # The place is computed once per row and written, as several passes read it.
+    placed = staged(_on_curve(points, [sorted(set(spans[f"cut{i}"])) for i in range(d)], bits))
+    ch = cut_series(placed, [], ["_z", "x"], rows_per_chunk)
+    around = ch.window.rowsBetween(-2 * k, 2 * k)
+    near = F.sort_array(F.transform(F.collect_list("x").over(around),
                                     lambda o: F.sqrt(_squared_distance(o, F.col("x"), d))))
     # The point itself is among its surroundings, at distance 0.
     bound = F.coalesce(F.get(near, F.lit(k)), F.lit(reach))
@@ -82,7 +97,7 @@ def nearest_points(points: DataFrame, d: int, k: int = 5, rows_per_chunk: int |
         (F.col("dist") <= F.col("r")) & (F.col("dist") > 0))
     best = Window.partitionBy("qx").orderBy("dist", "x")
     return (close.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= k)
-            .groupBy("qx").agg(F.array_sort(F.collect_list(F.struct("dist", "x", "m")))
+            .groupBy("qx").agg(F.sort_array(F.collect_list(F.struct("dist", "x", "m")))
                                .alias("near"))
             .withColumnRenamed("qx", "x"))
 

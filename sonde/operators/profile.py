@@ -256,9 +256,9 @@ def null_audit(df: DataFrame, cols: Sequence[str], label: str, well: str) -> Dat
              .groupBy("Tag", col(label), col(well)).agg(F.count("*").alias("n")))
     return cells.groupBy("Tag").agg(
         F.sum("n").alias("n_null"),
-        F.array_join(F.array_sort(F.collect_set(col(label))).cast("array<string>"), ",")
+        F.array_join(F.sort_array(F.collect_set(col(label))).cast("array<string>"), ",")
         .alias("labels"),
-        F.array_join(F.array_sort(F.collect_set(col(well))), ",").alias("wells"))
+        F.array_join(F.sort_array(F.collect_set(col(well))), ",").alias("wells"))
 
 
 def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:

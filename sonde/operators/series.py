@@ -63,7 +63,7 @@ class Chunked:
         return lookup(df, summary, self.keys + [_CHUNK])
 
 
-def _cuts_at_or_before(cuts: Column, point: Column, longest: int) -> Column:
+def cuts_at_or_before(cuts: Column, point: Column, longest: int) -> Column:
     """Number of cut points that are not after ``point``.
 
     A few cuts are compared one by one in generated code, many by bisection of the sorted array.
@@ -111,7 +111,7 @@ def cut_series(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         .withColumn("_n", F.row_number().over(by_key))
         .filter(F.col("_n") % samples == 0)
         .groupBy(*[col(k) for k in keys])
-        .agg(F.array_sort(F.collect_list(point)).alias(_CUTS))
+        .agg(F.sort_array(F.collect_list(point)).alias(_CUTS))
     )
     cuts = checkpointed(cuts.filter(F.size(_CUTS) > 0))
     found = cuts.agg(F.sum(F.size(_CUTS)), F.count("*"), F.max(F.size(_CUTS))).first()
@@ -124,7 +124,7 @@ def cut_series(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     else:
         joined = df.withColumn(_CUTS, cuts.select(_CUTS).scalar())
     chunk = F.when(F.col(_CUTS).isNull(), F.lit(-1)).otherwise(
-        _cuts_at_or_before(F.col(_CUTS), point, longest))
+        cuts_at_or_before(F.col(_CUTS), point, longest))
     return Chunked(joined.withColumn(_CHUNK, chunk).drop(_CUTS), keys, order, points + series)
 
 
@@ -186,7 +186,7 @@ def _tails(ch: Chunked, payload: Column, depth: int) -> DataFrame:
             Window.partitionBy(*ch.part).orderBy(F.col("_at").desc())))
         .filter(F.col("_n") <= depth)
         .groupBy(*ch.part)
-        .agg(F.array_sort(F.collect_list(F.struct("_at", "_v"))).alias("_rows"))
+        .agg(F.sort_array(F.collect_list(F.struct("_at", "_v"))).alias("_rows"))
     )
     # Every chunk has at least one row, so the previous ``depth`` chunks reach far enough.
     earlier = ch.over_chunks().rowsBetween(-depth, -1)
