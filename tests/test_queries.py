@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from sonde.catalog import QUERIES
 from tests.compare import connect, differences
 
 FOLDER = "/root/testdata/sf0.001"
@@ -14,7 +15,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     frame = entry.queries()[name](spark, FOLDER)
     plan = frame._jdf.queryExecution().executedPlan().toString()
