@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sonde.cluster import scratch_path
-from sonde.llm import decontaminate, langid, packing, pii, sharding, simhash, tokenfile
+from sonde.llm import (decontaminate, langid, neighbors, packing, paragraphs, pii, sharding,
+                       simhash, suffixes, tokenfile)
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -27,6 +28,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query("op1_suffix_dedup")
+def suffix_dedup(spark, folder):
+    return suffixes.removed(table(spark, folder, "documents"))
+
+
 @query("op2_best_fit_packing")
 def best_fit_packing(spark, folder):
     return packing.packed(table(spark, folder, "documents"), BYTE_BPE)
@@ -54,6 +60,11 @@ def language_id(spark, folder):
     return langid.predict(docs, langid.fit(docs))
 
 
+@query("op7_embedding_near_dedup")
+def embedding_near_dedup(spark, folder):
+    return neighbors.near_duplicates(table(spark, folder, "embeddings"))
+
+
 @query("op8_token_files")
 def token_files(spark, folder):
     out = scratch_path(spark, "tokens")
@@ -61,6 +72,11 @@ def token_files(spark, folder):
     return tokenfile.digests(spark, out)
 
 
+@query("op9_paragraph_dedup")
+def paragraph_dedup(spark, folder):
+    return paragraphs.repeated(table(spark, folder, "documents"))
+
+
 @query("op10_decontamination")
 def decontamination(spark, folder):
     return decontaminate.contaminated(table(spark, folder, "documents"),
