@@ -20,6 +20,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ LENGTH, GRAM = 100, 32
 PERIOD, COVER = 7, (1, 2, 4)
 
 # Text bytes per bucket, about; bytes hashed at once; equal runs that a map task remembers.
-BUCKET_BYTES, CHUNK, REMEMBERED = 24 << 20, 1 << 20, 200_000
+BUCKET_BYTES, CHUNK, REMEMBERED = 8 << 20, 1 << 20, 200_000
 
 # Rows of text that are looked at together before anything is sent.
 BATCH = 2048
@@ -229,7 +230,8 @@ def _run_texts(docs: DataFrame, runs: DataFrame, buckets: int, length: int) -> D
 
     def run(batches):
         seen: dict[bytes, tuple] = {}
-        for batch in slices(batches, 256):
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for batch in slices(batches, 1024):
             send: dict[int, list] = {}
             gone = []
             ids, marks = lists(batch, "id", "mark")
@@ -252,7 +254,8 @@ def _run_texts(docs: DataFrame, runs: DataFrame, buckets: int, length: int) -> D
                      np.array([h[1] for h, _, _ in r], "<i8"),
                      np.array([h[2] for h, _, _ in r], "<i8"),
                      np.array([len(p) for _, _, p in r], "<i8"),
-                     np.array([g for _, g, _ in r], "<i8"), b"".join(p for _, _, p in r))
+                     np.array([g for _, g, _ in r], "<i8"),
+                     squeeze.compress(b"".join(p for _, _, p in r)))
                     for b, r in send.items()]
             if gone:
                 cols = np.array(gone, "<i8").T
@@ -325,7 +328,9 @@ def _spans(texts: DataFrame, length: int) -> DataFrame:
         cols = [_joined(table, c, "<i8") for c in ("ids", "marks", "first", "sizes", "grams")]
         if table["bucket"][0].as_py() < 0:
             return _merged(*cols[:4])
-        return _merged(*bucket_spans(*cols, b"".join(table["text"].to_pylist()), length))
+        expand = zstandard.ZstdDecompressor()
+        text = b"".join(expand.decompress(t) for t in table["text"].to_pylist())
+        return _merged(*bucket_spans(*cols, text, length))
     return texts.groupBy("bucket").applyInArrow(bucket, SPANS)
 
 
@@ -339,7 +344,7 @@ def removed(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKET_BY
     """
     rows = keyed(docs, "text").select("id", F.xxhash64("text").alias("mark"), "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(8, -(-size // bucket_bytes))
+    buckets = max(64, -(-size // bucket_bytes))
     runs = _repeated_runs(_anchors(rows, buckets, length))
     spans = _spans(_run_texts(rows, runs, buckets, length), length)
     gone = spans.groupBy("id", "mark").agg(
