@@ -86,7 +86,7 @@ def _joined(table, name: str, kind) -> np.ndarray:
 
 
 ANCHORS = "bucket int, sure boolean, grams binary, ids binary, marks binary, first binary, " \
-          "last binary"
+          "more binary"
 
 
 def _anchors(docs: DataFrame, buckets: int, length: int) -> DataFrame:
@@ -125,8 +125,9 @@ def _anchors(docs: DataFrame, buckets: int, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows]),
                  *[_column([c[r[2]].astype(kind) for r in rows]) for c, kind in
-                   ((grams, "<u8"), (ids, "<i8"), (marks, "<i8"), (first, "<u4"), (last, "<u4"))]],
-                ["bucket", "sure", "grams", "ids", "marks", "first", "last"])
+                   ((grams, "<u8"), (ids, "<i8"), (marks, "<i8"), (first, "<u4"),
+                    (last - first, "<u2"))]],
+                ["bucket", "sure", "grams", "ids", "marks", "first", "more"])
     return docs.mapInArrow(run, ANCHORS)
 
 
@@ -141,9 +142,9 @@ def _repeated_runs(anchors: DataFrame) -> DataFrame:
             _, inverse, count = np.unique(grams, return_inverse=True, return_counts=True)
             live = (count > 1) | (np.bincount(inverse, sure) > 0)
             live = live[inverse]
+        first = _joined(table, "first", "<u4").astype(np.int64)
         cols = [grams.view(np.int64), _joined(table, "ids", "<i8"), _joined(table, "marks", "<i8"),
-                _joined(table, "first", "<u4").astype(np.int64),
-                _joined(table, "last", "<u4").astype(np.int64)]
+                first, first + _joined(table, "more", "<u2")]
         return pa.table([pa.array(c[live]) for c in cols], ["gram", "id", "mark", "first", "last"])
     return anchors.groupBy("bucket").applyInArrow(
         bucket, "gram long, id long, mark long, first long, last long")
@@ -219,6 +220,7 @@ def first_equal(data: np.ndarray, starts: np.ndarray, order: np.ndarray,
     return best
 
 
+_KINDS = ("<i8", "<i8", "<u4", "<u4", "<i8")
 RUNS = "bucket int, ids binary, marks binary, first binary, sizes binary, grams binary, text binary"
 SPANS = "id long, mark long, begin long, stop long"
 
@@ -252,14 +254,14 @@ def _run_texts(docs: DataFrame, runs: DataFrame, buckets: int, length: int) -> D
                     send.setdefault((gram >> 20) % buckets, []).append((here, gram, part))
             rows = [(b, np.array([h[0] for h, _, _ in r], "<i8"),
                      np.array([h[1] for h, _, _ in r], "<i8"),
-                     np.array([h[2] for h, _, _ in r], "<i8"),
-                     np.array([len(p) for _, _, p in r], "<i8"),
+                     np.array([h[2] for h, _, _ in r], "<u4"),
+                     np.array([len(p) for _, _, p in r], "<u4"),
                      np.array([g for _, g, _ in r], "<i8"),
                      squeeze.compress(b"".join(p for _, _, p in r)))
                     for b, r in send.items()]
             if gone:
-                cols = np.array(gone, "<i8").T
-                rows.append((-1 - ids[0] % 1024, *[np.ascontiguousarray(c) for c in cols],
+                rows.append((-1 - ids[0] % 1024,
+                             *[np.array(c, k) for c, k in zip(zip(*gone), _KINDS)],
                              np.zeros(0, "<i8"), b""))
             if rows:
                 cols = list(zip(*rows))
@@ -325,7 +327,8 @@ def bucket_spans(ids, marks, first, sizes, grams, text: bytes, length: int = LEN
 
 def _spans(texts: DataFrame, length: int) -> DataFrame:
     def bucket(table: pa.Table) -> pa.Table:
-        cols = [_joined(table, c, "<i8") for c in ("ids", "marks", "first", "sizes", "grams")]
+        cols = [_joined(table, c, k).astype(np.int64) for c, k in
+                zip(("ids", "marks", "first", "sizes", "grams"), _KINDS)]
         if table["bucket"][0].as_py() < 0:
             return _merged(*cols[:4])
         expand = zstandard.ZstdDecompressor()
