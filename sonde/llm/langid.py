@@ -104,18 +104,19 @@ def _remainder(folds: int):
 
 def fit(docs: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS,
         folds: int = FOLDS) -> Model | None:
-    """Fit on at most ``sample`` labelled documents outside fold 0; None if there are none.
+    """Fit on about ``sample`` labelled documents outside fold 0; None if there are none.
 
-    The sample takes languages in turn: a document's place is a uniform hash of its id times the
-    count of its language.  Only ids and languages are ordered; the texts of the chosen ids are
-    turned into n-gram bits on the executors, and those bits (a fixed size each) are collected.
+    The sample takes as many of each language, by a hash of the id; never more than twice
+    ``sample`` are read.  The texts of the chosen ids are turned into n-gram bits on the
+    executors, and those bits (a fixed size each) are collected.
     """
     rows = keyed(docs, "lang").withColumn("fold", _remainder(folds)).filter(
         "lang IS NOT NULL AND fold <> 0")
     counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
     uniform = (F.xxhash64("id", F.lit("landmark")) / F.lit(2.0 ** 64)) + F.lit(0.5)
+    share = F.lit(sample) / F.lit(max(counts.count(), 1)).cast("double")
     chosen = (rows.join(counts, "lang").select("id", (uniform * F.col("n")).alias("place"))
-              .orderBy("place", "id").limit(sample).collect())
+              .filter(F.col("place") <= share).limit(2 * sample).collect())
     if not chosen:
         return None
     place = {r["id"]: r["place"] for r in chosen}
@@ -131,7 +132,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS,
                 ["id", "lang", "bits"])
     wanted = (keyed(docs, "lang", "text").filter(F.col("id").isin(list(place)))
               .filter("lang IS NOT NULL"))
-    got = wanted.mapInArrow(run, "id long, lang string, bits binary").limit(sample).collect()
+    got = wanted.mapInArrow(run, "id long, lang string, bits binary").limit(2 * sample).collect()
     if not got:
         return None
     got.sort(key=lambda r: (place[r["id"]], r["id"], r["lang"], bytes(r["bits"])))

@@ -244,10 +244,11 @@ def train(x: np.ndarray, y: np.ndarray, steps: int = STEPS, seed: int = 7) -> Ta
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> Tagger | None:
-    """Train on the labelled spans of at most ``sample`` windows; None without any span.
+    """Train on the labelled spans of about ``sample`` windows; None without any span.
 
-    The labels are the base spans.  Windows with spans come first, then windows without, each by
-    a hash of id and place; every window has a fixed size, so what is collected is bounded.
+    The labels are the base spans.  Half of the windows have spans, half have none; both halves
+    are counted, then drawn by a hash of id and place, and never more than twice the sample.
+    Every window has a fixed size, so what is collected is bounded.
     """
     def run(batches):
         for batch in slices(batches):
@@ -259,20 +260,20 @@ def fit(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> Tagger | N
                 xs = codes(text, starts).astype(np.uint8)
                 ys = gold_tags(spans, starts).astype(np.uint8)
                 for at, x, y in zip(starts, xs, ys):
-                    key = hashlib.md5(f"{i}:{at}".encode()).hexdigest()[:12]
+                    key = int(hashlib.md5(f"{i}:{at}".encode()).hexdigest()[:12], 16) / 2 ** 48
                     out.append((bool(y.any()), key, x.tobytes(), y.tobytes()))
-            # No more of a batch than of the whole can be chosen.
-            out = [r for flag in (True, False) for r in
-                   sorted((r for r in out if r[0] is flag), key=lambda r: r[1:])[:sample // 2]]
             cols = list(zip(*out)) or [[]] * 4
-            kinds = [pa.bool_(), pa.string(), pa.binary(), pa.binary()]
+            kinds = [pa.bool_(), pa.float64(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                              ["spans", "key", "x", "y"])
-    rows = keyed(docs, "text").mapInArrow(run, "spans boolean, key string, x binary, y binary")
-    got = []
-    for flag in (True, False):
-        got += (rows.filter(F.col("spans") == flag).orderBy("key", "x", "y")
-                .limit(sample // 2).collect())
+    rows = keyed(docs, "text").mapInArrow(run, "spans boolean, key double, x binary, y binary")
+    counts = {r["spans"]: r["n"] for r in rows.groupBy("spans").agg(F.count("*").alias("n"))
+              .collect()}
+    half = sample / 2
+    share = (F.when(F.col("spans"), half / max(counts.get(True, 0), 1))
+             .otherwise(half / max(counts.get(False, 0), 1)))
+    got = rows.filter(F.col("key") < share).limit(2 * sample).collect()
+    got.sort(key=lambda r: (not r["spans"], r["key"], bytes(r["x"]), bytes(r["y"])))
     if not any(r["spans"] for r in got):
         return None
     x = np.stack([np.frombuffer(bytes(r["x"]), np.uint8) for r in got]).astype(np.int64)

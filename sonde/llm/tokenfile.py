@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sonde.llm.frames import keyed, lists, real_id, slices
+from sonde.llm.frames import keyed, lists, real_id, sampled, slices
 from sonde.llm.tokens import Encoder
 
 END_ID, LEVEL = 1, 3
@@ -60,13 +60,11 @@ class Dictionary:
 
 
 def train(docs: DataFrame, path: str, end_id: int = END_ID, sample: int = SAMPLE) -> Dictionary:
-    """Dictionary of at most ``sample`` serialized documents, chosen by a hash of their ids.
+    """Dictionary of about ``sample`` serialized documents, chosen by a hash of their ids.
 
     Of each, the first SAMPLE_BYTES of its serialized ids are used.  Where there is too little to
     train on, the samples themselves (or nothing) serve as dictionary.
     """
-    chosen = [r["id"] for r in keyed(docs).select("id", F.xxhash64("id").alias("place"))
-              .orderBy("place", "id").limit(sample).collect()]
     stop = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
@@ -76,8 +74,8 @@ def train(docs: DataFrame, path: str, end_id: int = END_ID, sample: int = SAMPLE
             data = [serialized(d + stop)[1][:SAMPLE_BYTES] for d in encoder.encode(texts)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()),
                                               pa.array(data, pa.binary())], ["id", "data"])
-    rows = (keyed(docs, "text").filter(F.col("id").isin(chosen))
-            .mapInArrow(run, "id long, data binary").limit(sample).collect())
+    rows = (sampled(keyed(docs, "text"), sample, "id")
+            .mapInArrow(run, "id long, data binary").collect())
     samples = [bytes(r["data"]) for r in sorted(rows, key=lambda r: (r["id"], bytes(r["data"])))]
     try:
         return Dictionary(zstandard.train_dictionary(DICTIONARY, samples).as_bytes())
