@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sonde.llm.frames import keyed, lists, real_id, slices, staged
-from sonde.llm.tokens import Encoder
+from sonde.llm.tokens import shared_encoder
 
 CAPACITY, END_ID = 1024, 2
 
@@ -243,7 +243,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY,
     stop = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encoder = Encoder(path, "space")
+        encoder = shared_encoder(path, "space")
         for batch in slices(batches):
             ids, texts = lists(batch, "id", "text")
             out = []

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sonde.llm.frames import keyed, lists, real_id, sampled, slices
-from sonde.llm.tokens import Encoder
+from sonde.llm.tokens import shared_encoder
 
 END_ID, LEVEL = 1, 3
 
@@ -68,7 +68,7 @@ def train(docs: DataFrame, path: str, end_id: int = END_ID, sample: int = SAMPLE
     stop = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encoder = Encoder(path, "drop")
+        encoder = shared_encoder(path, "drop")
         for batch in slices(batches):
             ids, texts = lists(batch, "id", "text")
             data = [serialized(d + stop)[1][:SAMPLE_BYTES] for d in encoder.encode(texts)]
@@ -107,7 +107,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID,
     hashed = dictionary.hash
 
     def run(batches):
-        encoder, squeeze = Encoder(path, "drop"), dictionary.compressor()
+        encoder, squeeze = shared_encoder(path, "drop"), dictionary.compressor()
         name, out, offset, line = None, None, 0, 0
         try:
             for batch in slices(batches):

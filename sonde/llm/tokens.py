@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 
 # Encoded pieces that a worker remembers before it forgets them all.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 
 
 class Encoder:
@@ -20,9 +21,11 @@ class Encoder:
     in a text are ordinary text.
     """
 
-    # Spaces that touch other white space or an end, for "space"; the mark between joined pieces
-    # and separators that only one of the two sides takes for white space, for "drop".
-    _WHOLE = {"space": re.compile(r"\s \S| \s| \Z|\A "), "drop": re.compile("[\x01\x1c-\x1f]")}
+    # White space beyond space, tab and line ends, and the mark between joined pieces.
+    _ODD = re.compile("[\x01\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029"
+                      "\u202f\u205f\u3000]")
+    # Spaces that touch other white space.
+    _TOUCHING = ("  ", " \n", " \t", " \r", "\n ", "\t ", "\r ")
 
     def __init__(self, path: str, cut: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -41,12 +44,16 @@ class Encoder:
                 raise ValueError("the vocabulary lacks a token for the mark between pieces")
 
     def _pieces(self, text: str) -> list[str] | None:
-        if self._WHOLE[self.cut].search(text):
+        if self._ODD.search(text):
             return None
         if self.cut == "drop":
             return text.split()
+        if not text:
+            return []
+        if text[0] == " " or text[-1] == " " or any(t in text for t in self._TOUCHING):
+            return None
         first, *rest = text.split(" ")
-        return [first, *[" " + p for p in rest]] if text else []
+        return [first, *[" " + p for p in rest]]
 
     def _ids(self, text: str) -> np.ndarray:
         got = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
@@ -79,10 +86,16 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers; null is empty."""
         pieces = [self._pieces(t or "") for t in texts]
-        wanted = {p for own in pieces if own for p in own}
+        wanted = set().union(*filter(None, pieces))
         if len(self.known) + len(wanted - self.known.keys()) > self.remembered:
             self.known.clear()
         self._learn(wanted)
         look = self.known.__getitem__
         return [self._ids(t).tobytes() if own is None else b"".join(map(look, own))
                 for t, own in zip(texts, pieces)]
+
+
+@lru_cache(maxsize=2)
+def shared_encoder(path: str, cut: str) -> Encoder:
+    """The encoder of a Python worker, which later tasks of that worker find warm."""
+    return Encoder(path, cut)
