@@ -23,6 +23,9 @@ SHARD = 16_384
 # the share of their true links that has to be found.
 DEGREE, BUILD_BEAM, BEAM, AUDIT, RECALL = 12, 48, 32, 48, 0.99
 
+# Queries that a beam of this width does not settle are compared with the whole shard instead.
+WIDEST = 128
+
 
 def _search(vectors: np.ndarray, links: np.ndarray, queries: np.ndarray, entry: np.ndarray,
             beam: int) -> tuple[np.ndarray, np.ndarray]:
@@ -166,7 +169,9 @@ def close_pairs(graph: Graph, queries: np.ndarray, exact: np.ndarray, exact_quer
 
     The beam starts at BEAM.  It is doubled for all queries until an audit (AUDIT queries spread
     over all, by brute force) finds the wanted share of true links, and then for those queries
-    whose whole beam is close, as more may lie outside it.
+    whose whole beam is close, as more may lie outside it.  What a beam of WIDEST does not settle
+    (dense groups, or a graph whose audit fails) is compared with all vectors of the shard, a
+    bounded number: one matrix product costs less than a beam as wide as the group.
     """
     n, margin = len(graph.vectors), np.float32(cosine - 1e-5)
     audit = np.unique(np.linspace(0, len(queries) - 1, min(AUDIT, len(queries))).astype(int))
@@ -176,12 +181,12 @@ def close_pairs(graph: Graph, queries: np.ndarray, exact: np.ndarray, exact_quer
         places, scores = graph.search(queries[audit], beam)
         found = sum(int(truth[k, p[(p >= 0) & (s >= margin)]].sum())
                     for k, (p, s) in enumerate(zip(places, scores)))
-        if found >= recall * truth.sum() or beam >= n:
+        if found >= recall * truth.sum() or beam > WIDEST:
             break
         beam *= 2
     out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(queries)
     left = np.arange(len(queries))
-    while len(left):
+    while len(left) and beam <= WIDEST:
         full = []
         for part in np.array_split(left, max(1, -(-len(left) * min(beam, n) // (1 << 20)))):
             places, scores = graph.search(queries[part], beam)
@@ -192,6 +197,10 @@ def close_pairs(graph: Graph, queries: np.ndarray, exact: np.ndarray, exact_quer
                 p = p[(p >= 0) & (s >= margin)]
                 out[q] = p[exact[p] @ exact_queries[q] >= cosine]
         left, beam = np.array(full, np.int64), beam * 2
+    for at in range(0, len(left), 256):
+        part = left[at:at + 256]
+        for q, row in zip(part, exact_queries[part] @ exact.T >= cosine):
+            out[q] = np.flatnonzero(row)
     return out
 
 
