@@ -167,6 +167,24 @@ def _crosstab_totals(t: Tables):
     return profile.crosstab_distinct(t.obs(), "class", "state", "instance", _STATES, totals=True)
 
 
+@query("crosstab_other", """
+WITH cells AS (SELECT coalesce(CAST(class AS VARCHAR), 'Unknown') AS r,
+  coalesce(CAST(state AS VARCHAR), 'Unknown') AS c, count(DISTINCT instance) AS n
+  FROM obs GROUP BY ALL)
+SELECT CASE WHEN grouping(r) = 1 THEN 'Grand Total' ELSE r END AS class,
+  CAST(coalesce(sum(n) FILTER (WHERE c = '1'), 0) AS BIGINT) AS "1",
+  CAST(coalesce(sum(n) FILTER (WHERE c <> '1'), 0) AS BIGINT) AS "Other",
+  CAST(sum(n) AS BIGINT) AS "Row Total" FROM cells GROUP BY ROLLUP (r)""")
+def _crosstab_other(t: Tables):
+    return profile.crosstab_distinct(t.obs(), "class", "state", "instance", ["1"], totals=True,
+                                     other="Other")
+
+
+@query("crosstab_found", _cross_sql("class", "state", _STATES, totals=True))
+def _crosstab_found(t: Tables):
+    return profile.crosstab_distinct(t.obs(), "class", "state", "instance", totals=True)
+
+
 @query("unique_by_source", _cross_sql("label", "data_type", SOURCES, totals=True))
 def _unique_source(t: Tables):
     return profile.crosstab_distinct(t.obs(), "label", "data_type", "instance", SOURCES,

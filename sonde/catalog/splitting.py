@@ -62,16 +62,28 @@ def _three(t: Tables):
     return split.three_way_split(t.obs().filter("class IS NOT NULL"), "instance", "class")
 
 
-_BUCKET = f"CAST('0x' || substr({_ROW_H}, 1, 8) AS BIGINT)"
+_BITS = f"CAST('0x' || substr({_ROW_H}, 1, 15) AS BIGINT)"
 
 
 @query("hash_split", f"""
-SELECT event_id, CASE WHEN {_BUCKET} % 100 < 80 THEN 'train' ELSE 'test' END AS split FROM obs""")
+SELECT event_id, CASE WHEN {_BITS} < {int(0.8 * 2 ** 60)} THEN 'train' ELSE 'test' END AS split FROM obs""")
 def _hash_split(t: Tables):
     return split.hash_split(t.obs().select("event_id"), ["event_id"])
 
 
-@query("hash_sample", f"SELECT event_id, label FROM obs WHERE {_BUCKET} % 10000 < 1000")
+@query("hash_split_near_one", f"""
+SELECT event_id, CASE WHEN {_BITS} < {int(0.996 * 2 ** 60)} THEN 'train' ELSE 'test' END AS split
+FROM obs""")
+def _hash_split_near_one(t: Tables):
+    return split.hash_split(t.obs().select("event_id"), ["event_id"], 0.996)
+
+
+@query("hash_sample_small", f"SELECT event_id, label FROM obs WHERE {_BITS} < {int(0.0003 * 2 ** 60)}")
+def _hash_sample_small(t: Tables):
+    return split.hash_sample(t.obs().select("event_id", "label"), ["event_id"], 0.0003)
+
+
+@query("hash_sample", f"SELECT event_id, label FROM obs WHERE {_BITS} < {int(0.1 * 2 ** 60)}")
 def _hash_sample(t: Tables):
     return split.hash_sample(t.obs().select("event_id", "label"), ["event_id"], 0.1)
 

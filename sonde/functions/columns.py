@@ -24,6 +24,13 @@ def is_missing(df: DataFrame, name: str) -> Column:
     return value.isNull()
 
 
+def present(df: DataFrame, name: str) -> Column:
+    """The column with NaN as null, so that both count as missing."""
+    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+        return F.when(~F.isnan(col(name)), col(name)).alias(name)
+    return col(name)
+
+
 def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left"
            ) -> DataFrame:
     """Join on null-safe equality of ``keys`` and append the other columns of ``right``."""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sonde.cluster import small_side
-from sonde.functions import col, lookup
+from sonde.functions import col, lookup, present
 from sonde.operators.quantiles import exact_quantiles
 from sonde.operators.series import fill_values
 from sonde.reference import TRANSIENT_LABELS
@@ -27,7 +27,7 @@ class Imputer:
             if value is None:
                 return col(name)
             literal = F.lit(value).cast(df.schema[name].dataType)
-            return F.coalesce(col(name), literal).alias(name)
+            return F.coalesce(present(df, name), literal).alias(name)
 
         return df.select(*[filled(c) for c in df.columns])
 
@@ -43,6 +43,7 @@ def fit_continuous(df: DataFrame, cols: Sequence[str], strategy: str = "mean",
         raise ValueError(f"unknown strategy {strategy!r}: use 'mean' or 'median'")
     if not cols:
         return Imputer({})
+    df = df.select(*[present(df, c) for c in cols])
     if strategy == "median" and exact:
         rows = exact_quantiles(df, cols, [0.5], rows_per_chunk).collect()  # one row per column
         return Imputer({r["Tag"]: r["q0"] for r in rows})
@@ -54,7 +55,7 @@ def fit_continuous(df: DataFrame, cols: Sequence[str], strategy: str = "mean",
 def column_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Most frequent value of every numeric column (smallest on a tie), in one pass."""
     long = df.select(*[col(c).cast("double").alias(c) for c in cols]).unpivot(
-        [], [col(c) for c in cols], "Tag", "v").filter("v IS NOT NULL")
+        [], [col(c) for c in cols], "Tag", "v").filter("v IS NOT NULL AND NOT isnan(v)")
     counts = long.groupBy("Tag", "v").agg(F.count("*").alias("n"))
     return counts.groupBy("Tag").agg(F.min(F.struct(-F.col("n"), F.col("v").alias("v")))["v"]
                                      .alias("mode"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sonde.cluster import BROADCAST_ROWS, checkpointed, small_side, staged
-from sonde.functions import col, is_missing, key_or_unknown, lookup, value_type
+from sonde.functions import col, is_missing, key_or_unknown, lookup, present, value_type
 from sonde.operators.quantiles import exact_quantiles
 from sonde.operators.series import position
 from sonde.operators.tables import numeric_columns
@@ -114,23 +114,38 @@ def distinct_cells(df: DataFrame, keys: Sequence[str], count: str) -> DataFrame:
         F.countDistinct(col(count)).alias("n"))
 
 
-def crosstab_distinct(df: DataFrame, row: str, column: str, count: str, values: Sequence[str],
-                      totals: bool = False, within: Sequence[str] = ()) -> DataFrame:
+def found_values(df: DataFrame, column: str, most: int = 1000) -> list[str]:
+    """The keys of a column in order, 'Unknown' for null; an error when there are over ``most``."""
+    rows = df.select(key_or_unknown(column).alias("v")).distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{column} has more than {most} values: list those to show")
+    return sorted(r["v"] for r in rows)
+
+
+def crosstab_distinct(df: DataFrame, row: str, column: str, count: str,
+                      values: Sequence[str] | None = None, totals: bool = False,
+                      within: Sequence[str] = (), other: str | None = None) -> DataFrame:
     """Distinct ``count`` by row and column, 0 where empty.
 
+    Without ``values`` there is a column for every value found.  With a list, ``other`` names a
+    column that adds up the values which are not listed; rows and totals hold them in any case.
+
     ``totals`` adds a Row Total and a Grand Total row.  Both add up the cells; they are not
     distinct counts of the union.
     """
+    values = found_values(df, column) if values is None else list(values)
     cells = distinct_cells(df, [*within, row, column], count)
     sums = [F.coalesce(F.sum(F.when(col(column) == v, F.col("n"))), F.lit(0)).alias(v)
             for v in values]
+    if other is not None:
+        sums.append(F.coalesce(F.sum(F.when(~col(column).isin(values), F.col("n"))), F.lit(0))
+                    .alias(other))
     if not totals:
         return cells.groupBy(*[col(w) for w in within], col(row)).agg(*sums)
-    known = cells.filter(col(column).isin(list(values)))
-    return known.rollup(col(row)).agg(
+    return cells.rollup(col(row)).agg(
         F.grouping(col(row)).alias("_g"), *sums, F.sum("n").alias("Row Total")
     ).select(F.when(F.col("_g") == 1, "Grand Total").otherwise(col(row)).alias(row),
-             *[col(v) for v in values], "Row Total")
+             *[col(v) for v in [*values, *([other] if other is not None else [])]], "Row Total")
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -151,10 +166,9 @@ def class_distribution(df: DataFrame, column: str) -> DataFrame:
 
 def value_counts_by_source(df: DataFrame, column: str, source: str, values: Sequence[str]
                            ) -> DataFrame:
-    """Rows per value and source, 0 where absent, with their total."""
+    """Rows per value and source, 0 where absent; the total counts rows of other sources too."""
     cells = [F.count(F.when(col(source) == v, 1)).alias(v) for v in values]
-    return df.groupBy(col(column)).agg(*cells).withColumn(
-        "Total", sum((col(v) for v in values[1:]), col(values[0])))
+    return df.groupBy(col(column)).agg(*cells, F.count("*").alias("Total"))
 
 
 def source_share(df: DataFrame, source: str, series: str) -> DataFrame:
@@ -181,7 +195,9 @@ def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int = 6,
     """Count, mean, sample deviation, min, quartiles and max: one row per column.
 
     Exact quartiles count every distinct value; approximate ones ride on the same aggregate.
+    Null and NaN are missing values, and are left out of every statistic.
     """
+    df = df.select(*[present(df, c) for c in cols])
     stats = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     if not exact:
         stats |= {f"q{i}": (lambda c, p=p: F.percentile_approx(c, p, 10_000))
@@ -203,8 +219,9 @@ def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int = 6,
 def histogram_bins(df: DataFrame, cols: Sequence[str], group: str, bins: int = 30) -> DataFrame:
     """Equal-width histogram of every column per group; the last bin is closed.
 
-    Nulls are left out.  A column with a single value gets a range of width 1 around it.
+    Null and NaN are left out.  A column with a single value gets a range of width 1 around it.
     """
+    df = df.select(col(group), *[present(df, c) for c in cols])
     ranges = df.groupBy(col(group)).agg(*[
         F.struct(F.min(col(c)).cast("double").alias("lo"),
                  F.max(col(c)).cast("double").alias("hi")).alias(c) for c in cols])

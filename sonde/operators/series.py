@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sonde.cluster import BROADCAST_ROWS, checkpointed
-from sonde.functions import col, lookup
+from sonde.functions import col, lookup, present
 
 ROWS_PER_CHUNK = 1_000_000
 MAX_CHUNKS = 100_000
@@ -133,8 +133,9 @@ def fill_values(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order:
     """Add ``_f_<c>``, the last value so far, and ``_s_<c>``, the first value of the series.
 
     Where there is no value so far, the next value is the first one of the series.  So a backward
-    fill after a forward fill needs no second sort: both frames share one window.
+    fill after a forward fill needs no second sort: both frames share one window.  NaN is no value.
     """
+    df = df.select(*[present(df, c) if c in cols else col(c) for c in df.columns])
     ch = cut_series(df, keys, order, rows_per_chunk)
     so_far = ch.window.rowsBetween(Window.unboundedPreceding, 0)
     whole = ch.window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

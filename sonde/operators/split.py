@@ -110,14 +110,22 @@ def hash_bucket(key: Sequence[str], buckets: int = 100, seed: int = 42) -> Colum
                   F.lit(buckets))
 
 
+def below(key: Sequence[str], share: float, seed: int = 42) -> Column:
+    """Whether 60 bits of the row's hash, as a number from 0 to 1, are less than ``share``."""
+    bits = F.conv(F.substring(md5_of(key, seed), 1, 15), 16, 10).cast("bigint")
+    return bits < F.lit(int(share * 2 ** 60))
+
+
 def hash_split(df: DataFrame, key: Sequence[str], ratio: float = 0.8, seed: int = 42
                ) -> DataFrame:
-    train = hash_bucket(key, 100, seed) < round(ratio * 100)
+    """Rows whose hash falls below the ratio are train; the ratio is not rounded."""
+    train = below(key, ratio, seed)
     return df.withColumn("split", F.when(train, "train").otherwise("test"))
 
 
 def hash_sample(df: DataFrame, key: Sequence[str], fraction: float, seed: int = 42) -> DataFrame:
-    return df.filter(hash_bucket(key, 10_000, seed) < round(fraction * 10_000))
+    """Rows whose hash falls below the fraction, which is not rounded."""
+    return df.filter(below(key, fraction, seed))
 
 
 def stratified_sample(df: DataFrame, strata: Sequence[str], key: Sequence[str], fraction: float,

@@ -79,9 +79,9 @@ def columns_not_in(df: DataFrame, tags: Sequence[str]) -> list[str]:
 
 
 def missing_flags(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Add ``<c>_missing`` (1 where null, else 0) for every column, in one projection."""
+    """Add ``<c>_missing`` (1 where null or NaN, else 0) for every column, in one projection."""
     return df.select("*", *[
-        F.when(col(c).isNull(), F.lit(1)).otherwise(F.lit(0)).alias(f"{c}_missing") for c in cols
+        F.when(is_missing(df, c), F.lit(1)).otherwise(F.lit(0)).alias(f"{c}_missing") for c in cols
     ])
 
 
