@@ -27,7 +27,7 @@ SAMPLE, LANDMARKS, RIDGE = 2400, 160, 1e-3
 UNKNOWN, FOLDS = "und", 5
 
 # Below this score the pipeline rejects a document.
-MIN_SCORE = 0.3
+MIN_SCORE = 0.2
 
 _LETTER = re.compile(r"[^\W\d_]")
 
