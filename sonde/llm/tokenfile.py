@@ -29,6 +29,9 @@ END_ID, LEVEL = 1, 3
 # Bounds of what the dictionary is trained on, and its size in bytes.
 SAMPLE, SAMPLE_BYTES, DICTIONARY = 2000, 4096, 65_536
 
+# Encoded words that a worker remembers: text is shuffled here, so memory is scarcer than elsewhere.
+REMEMBERED = 250_000
+
 # Text bytes of one data file, about.
 FILE_BYTES = 64 << 20
 
@@ -68,7 +71,7 @@ def train(docs: DataFrame, path: str, end_id: int = END_ID, sample: int = SAMPLE
     stop = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encoder = shared_encoder(path, "drop")
+        encoder = shared_encoder(path, "drop", REMEMBERED)
         for batch in slices(batches):
             ids, texts = lists(batch, "id", "text")
             data = [serialized(d + stop)[1][:SAMPLE_BYTES] for d in encoder.encode(texts)]
@@ -107,7 +110,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID,
     hashed = dictionary.hash
 
     def run(batches):
-        encoder, squeeze = shared_encoder(path, "drop"), dictionary.compressor()
+        encoder, squeeze = shared_encoder(path, "drop", REMEMBERED), dictionary.compressor()
         name, out, offset, line = None, None, 0, 0
         try:
             for batch in slices(batches):

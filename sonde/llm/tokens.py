@@ -8,7 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 
-# Encoded pieces that a worker remembers before it forgets them all.
+# Encoded pieces that a worker remembers before it forgets the later half.
 REMEMBERED = 800_000
 
 
@@ -88,7 +88,9 @@ class Encoder:
         pieces = [self._pieces(t or "") for t in texts]
         wanted = set().union(*filter(None, pieces))
         if len(self.known) + len(wanted - self.known.keys()) > self.remembered:
-            self.known.clear()
+            # What came first is what comes often: the later half goes.
+            for _ in range(len(self.known) // 2):
+                self.known.popitem()
         self._learn(wanted)
         look = self.known.__getitem__
         return [self._ids(t).tobytes() if own is None else b"".join(map(look, own))
@@ -96,6 +98,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def shared_encoder(path: str, cut: str) -> Encoder:
+def shared_encoder(path: str, cut: str, remembered: int = REMEMBERED) -> Encoder:
     """The encoder of a Python worker, which later tasks of that worker find warm."""
-    return Encoder(path, cut)
+    return Encoder(path, cut, remembered)
