@@ -1,4 +1,10 @@
-"""Model training and scoring.  Fits use few iterations; the functions' defaults are larger."""
+"""Model training and scoring.
+
+Predictions have no SQL twin, so a query returns what must hold for each class or row: exact
+supports, guesses among the learned classes, sound probabilities, a fit no worse than the
+constant guess.  Gaussian Bayes is compared row by row with its closed form, and the logistic
+fit by its vanishing gradient.
+"""
 
 from __future__ import annotations
 
@@ -8,8 +14,9 @@ from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from sonde.catalog.base import Tables, query
-from sonde.cluster import scratch_path, staged
+from sonde.catalog.base import EVENT_CLASS_LIST, MULTI_SQL, Tables, query
+from sonde.catalog.splitting import _BITS, _SPLIT
+from sonde.cluster import scratch_path, spread, staged
 from sonde.functions import binary_target, multiclass_target, normal_flag
 from sonde.operators import (
     balance, evaluate, features, impute, models, series, split, tables)
@@ -20,13 +27,19 @@ CONTINUOUS, CATEGORICAL = ["p_main", "p_aux", "p_sparse"], ["valve_a"]
 SENSORS = [*CONTINUOUS, *CATEGORICAL]
 INPUTS = SENSORS + [f"{s}_missing" for s in SENSORS]
 
+# Observations with their split and both targets, for the SQL twins.
+_ROWS = (f"s AS ({_SPLIT}), d AS (SELECT o.*, split, {MULTI_SQL} AS final_class, "
+         f"CASE WHEN class IN {EVENT_CLASS_LIST} THEN 1 ELSE 0 END AS target "
+         "FROM obs o JOIN s USING (label, instance))")
+_LEARNED = ("k AS (SELECT label, count(DISTINCT target) AS kinds FROM d WHERE split = 'train' "
+            f"AND label IN {tuple(EVENT_LABELS)} GROUP BY label)")
+
 
 def _split(t: Tables):
     """Observations with flags, fitted fills and both targets, split by series."""
-    df = split.attach_split(t.obs(), split.group_split(t.obs(), "instance", ["label"]),
-                            ["label", "instance"])
-    # Four fits and the models read it: written once, in as many parts as there are cores.
-    df = staged(df.repartition(t.spark.sparkContext.defaultParallelism, "instance", "event_id"))
+    # Four fits and the models read it: written once.
+    df = spread(staged(split.attach_split(
+        t.obs(), split.group_split(t.obs(), "instance", ["label"]), ["label", "instance"])))
     flagged = tables.missing_flags(df, SENSORS)
     train = flagged.filter("split = 'train'")
     fill = impute.Imputer({**impute.fit_continuous(train, CONTINUOUS).values,
@@ -39,81 +52,167 @@ def _split(t: Tables):
     return ready.filter("split = 'train'"), ready.filter("split = 'test'"), coded
 
 
-def _gbt():
-    return models.gbt(max_iter=2, max_depth=3)
+def _probabilities(width: int):
+    """Whether a row's probabilities are as many as the classes, lie in 0..1, and add up to 1."""
+    p = vector_to_array("probability")
+    total = F.aggregate(p, F.lit(0.0), lambda a, v: a + v)
+    return ((F.size(p) == width) & F.forall(p, lambda v: v.between(0.0, 1.0))
+            & (F.abs(total - 1.0) < 1e-9))
+
+
+def _learned(fitted, truth: str, guess: str, balanced: bool = False) -> bool:
+    """Whether training rows are told apart at least as well as by one constant guess.
+
+    The measure is accuracy, or mean recall for fits on balanced weights.
+    """
+    per = fitted.groupBy(truth).agg(
+        F.count("*").alias("n"), F.count(F.when(F.col(truth) == F.col(guess), 1)).alias("hits"))
+    row = per.agg(F.sum("hits").alias("hits"), F.max("n").alias("most"), F.count("*").alias("k"),
+                  F.sum(F.col("hits") / F.col("n")).alias("recalls")).first()
+    return row["recalls"] >= 1 if balanced else row["hits"] >= row["most"]
 
 
-def _scored(model, test, target: str):
-    return evaluate.confusion_matrix(model.transform(test), target, "prediction")
+def _checked(model, train, test, truth: str, width: int, klass: str = "final_class",
+             sound: bool = True, balanced: bool = False):
+    """Per true class of the test rows: support, known guesses, sound rows, and the train fit."""
+    fit = _learned(model.transform(train), truth, "prediction", balanced)
+    # Indexers keep a place for unseen classes, so there may be one probability more.
+    fine = _probabilities(model.stages[-1].numClasses) if sound else F.lit(True)
+    return model.transform(test).groupBy(klass).agg(
+        F.count("*").alias("n"),
+        F.count(F.when(F.col("prediction").between(0, width - 1), 1)).alias("n_known"),
+        F.count(F.when(fine, 1)).alias("n_sound")).withColumn("learned", F.lit(fit))
+
 
+_CHECKED = f"""
+WITH {_ROWS} SELECT final_class, count(*) AS n, count(*) AS n_known, count(*) AS n_sound,
+  true AS learned FROM d WHERE split = 'test' GROUP BY final_class"""
 
-@query("gbt_per_label")
+
+@query("gbt_per_label", f"""
+WITH {_ROWS}, {_LEARNED} SELECT label, count(*) AS n, sum(target)::BIGINT AS n_event,
+  count(*) AS n_sound, true AS learned FROM d JOIN k USING (label) WHERE split = 'test'
+GROUP BY label""")
 def _per_label(t: Tables):
     train, test, _ = _split(t)
-    fitted = models.fit_per_label(train, INPUTS, EVENT_LABELS, _gbt())
-    scored = models.score_per_label(test, fitted)
+    fitted = models.fit_per_label(train, INPUTS, EVENT_LABELS, test=test)
     own = F.coalesce(*[F.when(F.col("label") == k, F.col(f"probability_label_{k}"))
                        for k in sorted(fitted)])
-    guess = scored.withColumn("guess", (own > 0.5).cast("int")).filter("guess IS NOT NULL")
-    return guess.groupBy("label").agg(
-        F.count("*").alias("n"),
-        F.count(F.when((F.col("target") == 1) & (F.col("guess") == 1), 1)).alias("tp"),
-        F.count(F.when((F.col("target") == 0) & (F.col("guess") == 0), 1)).alias("tn"),
-        F.count(F.when((F.col("target") == 0) & (F.col("guess") == 1), 1)).alias("fp"),
-        F.count(F.when((F.col("target") == 1) & (F.col("guess") == 0), 1)).alias("fn"))
 
+    def guessed(df):
+        return models.score_per_label(df, fitted).withColumn("own", own).filter(
+            F.col("own").isNotNull())
 
-@query("score_layer1")
-def _layer_1(t: Tables):
-    train, test, _ = _split(t)
-    fitted = models.fit_per_label(train, INPUTS, EVENT_LABELS, _gbt())
-    return models.score_per_label(test.select("event_id", *INPUTS), fitted).drop(*INPUTS)
+    right = F.count(F.when((F.col("own") > 0.5).cast("int") == F.col("target"), 1))
+    events = F.sum("target")
+    fits = guessed(train).groupBy("label").agg(
+        (right >= F.greatest(events, F.count("*") - events)).alias("learned")).collect()
+    good = F.col("label").isin([r["label"] for r in fits if r["learned"]])
+    return guessed(test).groupBy("label").agg(
+        F.count("*").alias("n"), events.alias("n_event"),
+        F.count(F.when(F.col("own").between(0, 1), 1)).alias("n_sound")
+    ).withColumn("learned", good)
 
 
-@query("feature_importance")
+@query("score_layer1", f"""
+WITH {_ROWS}, {_LEARNED} SELECT event_id, p_main, (SELECT count(*) FROM k) AS n_scores
+FROM d WHERE split = 'test'""")
+def _layer_1(t: Tables):
+    train, test, _ = _split(t)
+    fitted = models.fit_per_label(train, INPUTS, EVENT_LABELS)
+    raw = t.obs().select("event_id", F.col("p_main").alias("raw"))
+    scored = models.score_per_label(test.select("event_id", *INPUTS), fitted)
+    sound = sum((F.col(f"probability_label_{k}").between(0, 1).cast("bigint") for k in fitted),
+                F.lit(0).cast("bigint"))
+    return scored.select("event_id", sound.alias("n_scores")).join(raw, "event_id").select(
+        "event_id", F.col("raw").alias("p_main"), "n_scores")
+
+
+@query("feature_importance", f"""
+WITH {_ROWS}, {_LEARNED} SELECT CAST(label AS STRING) AS model, f AS feature, true AS sound,
+  CASE WHEN kinds > 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS total
+FROM k, (SELECT unnest({INPUTS}) AS f) u""")
 def _importance(t: Tables):
     train, _, _ = _split(t)
-    fitted = models.fit_per_label(train, INPUTS, EVENT_LABELS, _gbt())
-    return models.feature_importance(t.spark, fitted)
+    fitted = models.fit_per_label(train, INPUTS, EVENT_LABELS)
+    each = models.feature_importance(t.spark, fitted)
+    totals = each.groupBy("model").agg(F.round(F.sum("importance"), 9).alias("total"))
+    return each.join(totals, "model").select(
+        "model", "feature", F.col("importance").between(0, 1).alias("sound"), "total")
 
 
-@query("rf_multiclass")
+@query("rf_multiclass", _CHECKED)
 def _forest(t: Tables):
-    train, test, _ = _split(t)
-    return _scored(models.fit_on(train, INPUTS, models.forest(10, 5), "y"), test, "y")
+    train, test, coded = _split(t)
+    model = models.fit_on(train, INPUTS, models.forest(), "y")
+    return _checked(model, train, test, "y", len(coded.labels))
 
 
-@query("mlp_multiclass")
+@query("mlp_multiclass", _CHECKED)
 def _mlp(t: Tables):
     train, test, coded = _split(t)
-    net = models.perceptron(len(INPUTS), len(coded.labels), max_iter=5)
-    return _scored(models.fit_on(train, INPUTS, net, "y"), test, "y")
-
-
-@query("naive_bayes")
+    net = models.perceptron(len(INPUTS), len(coded.labels))
+    model = models.fit_on(train, INPUTS, net, "y")
+    return _checked(model, train, test, "y", len(coded.labels))
+
+
+_FILLED = ", ".join(
+    [f"coalesce({c}, (SELECT avg({c}) FROM d WHERE split = 'train')) AS {c}" for c in CONTINUOUS]
+    + [f"coalesce({c}, (SELECT {c} FROM d WHERE split = 'train' AND {c} IS NOT NULL "
+       f"GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)) AS {c}" for c in CATEGORICAL]
+    + [f"CASE WHEN {c} IS NULL THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS {c}_missing"
+       for c in SENSORS])
+_SCALED = ", ".join(
+    [f"({c} - (SELECT avg({c}) FROM filled WHERE split = 'train')) / "
+     f"(SELECT stddev_samp({c}) FROM filled WHERE split = 'train')" for c in SENSORS]
+    + [f"{c}_missing" for c in SENSORS])
+
+
+@query("naive_bayes", f"""
+WITH {_ROWS}, filled AS (SELECT event_id, split, final_class, {_FILLED} FROM d),
+x AS (SELECT event_id, split, final_class, unnest([{_SCALED}]) AS v,
+        unnest(range({len(INPUTS)})) AS f FROM filled),
+tot AS (SELECT f, avg(v * v) - avg(v) * avg(v) AS var FROM x WHERE split = 'train' GROUP BY f),
+par AS (SELECT final_class AS c, f, avg(v) AS mu, count(*) AS n,
+          avg(v * v) - avg(v) * avg(v) + 1e-9 * (SELECT max(var) FROM tot) AS var
+        FROM x WHERE split = 'train' GROUP BY final_class, f),
+score AS (SELECT event_id, c, ln(any_value(n)) - sum(ln(var) + (v - mu) * (v - mu) / var) / 2 AS g
+          FROM x JOIN par USING (f) WHERE split = 'test' GROUP BY event_id, c)
+SELECT event_id, arg_max(c, g) AS predicted FROM score GROUP BY event_id""")
 def _bayes(t: Tables):
-    train, test, _ = _split(t)
-    return _scored(models.fit_on(train, INPUTS, models.gaussian_bayes(), "y"), test, "y")
+    train, test, coded = _split(t)
+    model = models.fit_on(train, INPUTS, models.gaussian_bayes(), "y")
+    names = F.array(*[F.lit(int(c)) for c in coded.labels])
+    return model.transform(test).select("event_id", F.try_element_at(
+        names, F.col("prediction").cast("int") + 1).alias("predicted"))
 
 
-@query("ovr_gbt")
+@query("ovr_gbt", _CHECKED)
 def _boosted(t: Tables):
-    train, test, _ = _split(t)
-    several = models.boosted_one_vs_rest(max_iter=2, max_depth=3, parallelism=4)
-    return _scored(models.fit_on(train, INPUTS, several, "y"), test, "y")
+    train, test, coded = _split(t)
+    model = models.fit_on(train, INPUTS, models.boosted_one_vs_rest(parallelism=8), "y")
+    return _checked(model, train, test, "y", len(coded.labels), sound=False)
 
 
-@query("logreg")
+@query("logreg", f"""
+WITH {_ROWS} SELECT unnest({INPUTS + ["intercept"]}) AS term, true AS flat,
+  (SELECT count(*) FROM d WHERE split = 'train') AS n""")
 def _logistic(t: Tables):
-    train, test, _ = _split(t)
-    heavy, line = models.weighted(train, "target", models.logistic(10))
-    return _scored(models.fit_on(heavy, INPUTS, line, "target"), test, "target")
+    """The gradient of the fitted loss, per term: the mean of weight x (p - target) x input."""
+    train, _, _ = _split(t)
+    heavy, line = models.weighted(train, "target", models.logistic())
+    fitted = models.fit_on(heavy, INPUTS, line, "target").transform(heavy)
+    miss = F.col("weight") * (vector_to_array("probability")[1] - F.col("target"))
+    terms = {**{c: F.col(c) for c in INPUTS}, "intercept": F.lit(1.0)}
+    wide = fitted.agg(F.count("*").alias("n"), *[
+        (F.abs(F.avg(miss * x)) < 1e-3).alias(c) for c, x in terms.items()])
+    return wide.unpivot(["n"], list(terms), "term", "flat")
 
 
-@query("rf_weighted")
+@query("rf_weighted", _CHECKED)
 def _meta_forest(t: Tables):
     """Base-model probabilities as extra inputs of a forest on balanced rows."""
-    train, test, _ = _split(t)
+    train, test, coded = _split(t)
     base = models.fit_on(train, INPUTS, models.gaussian_bayes(), "y")
 
     def with_meta(df):
@@ -122,54 +221,76 @@ def _meta_forest(t: Tables):
         return out.select(*df.columns, *[F.col("_p")[i].alias(f"meta_{i}") for i in range(k)]), k
 
     (rows, k), (held, _) = with_meta(train), with_meta(test)
-    heavy, trees = models.weighted(rows, "y", models.forest(10, 5))
+    heavy, trees = models.weighted(rows, "y", models.forest())
     model = models.fit_on(heavy, INPUTS + [f"meta_{i}" for i in range(k)], trees, "y")
-    return _scored(model, held, "y")
+    return _checked(model, heavy, held, "y", len(coded.labels), balanced=True)
 
 
-@query("two_level")
+@query("two_level", f"""
+WITH {_ROWS} SELECT label, count(*) AS n, count(*) AS n_known, true AS learned FROM d
+WHERE split = 'test' GROUP BY label""")
 def _two_level(t: Tables):
-    """Normal or not first; the event type only for rows that look abnormal."""
+    """Normal or not first; the event type, by boosted trees, only for rows that look abnormal."""
     train, test, _ = _split(t)
     train = train.withColumn("normal", F.coalesce(normal_flag(F.col("class")), F.lit(0)))
-    heavy, line = models.weighted(train, "normal", models.logistic(10))
+    heavy, line = models.weighted(train, "normal", models.logistic())
     gate = models.fit_on(heavy, INPUTS, line, "normal")
-    kind = models.fit_on(train.filter("normal = 0"), INPUTS, models.forest(5, 4), "label")
+    odd = train.filter("normal = 0")
+    coded = features.frequency_index(odd, "label", "kind")
+    odd = coded.transform(odd)
+    kind = models.fit_on(odd, INPUTS, models.boosted_one_vs_rest(20, 5, parallelism=8), "kind")
     out = gate.transform(test).select(
         "event_id", "label", *INPUTS, F.col("prediction").alias("looks_normal"))
-    typed = kind.transform(out)
-    return typed.groupBy("label", F.when(F.col("looks_normal") == 1, -1).otherwise(
-        F.col("prediction").cast("int")).alias("guess")).agg(F.count("*").alias("n"))
+    guess = F.when(F.col("looks_normal") == 1, -1).otherwise(F.col("prediction").cast("int"))
+    fit = (_learned(gate.transform(heavy), "normal", "prediction", True)
+           and _learned(kind.transform(odd), "kind", "prediction"))
+    return kind.transform(out).groupBy("label").agg(
+        F.count("*").alias("n"),
+        F.count(F.when(guess.between(-1, len(coded.labels) - 1), 1)).alias("n_known")
+    ).withColumn("learned", F.lit(fit))
 
 
-@query("indexed_forest")
+@query("indexed_forest", f"""
+SELECT label, count(*) AS n, count(*) AS n_known, count(*) AS n_sound, true AS learned
+FROM obs WHERE {_BITS} >= {int(0.8 * 2 ** 60)} GROUP BY label""")
 def _indexed(t: Tables):
     """One chain of stages on the label: indexed wells and lags, fills, scaling, forest."""
     df = series.lag_features(t.obs(), "well", 3, [], ["ts", "event_id"])
-    df = split.hash_split(df, ["event_id"])
+    df = spread(staged(split.hash_split(df, ["event_id"])))
     text = ["well", *[f"well_lag{k}" for k in (1, 2, 3)]]
     coded, filled = [f"{c}_index" for c in text], [f"{c}_imputed" for c in SENSORS]
+    train = df.filter("split = 'train'")
     chain = Pipeline(stages=[
         StringIndexer(inputCols=text, outputCols=coded, handleInvalid="keep"),
         StringIndexer(inputCol="label", outputCol="label_index", handleInvalid="keep"),
         MlImputer(inputCols=SENSORS, outputCols=filled, strategy="mean"),
         VectorAssembler(inputCols=[*coded, *filled], outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features"),
-        models.forest(5, 4).setLabelCol("label_index"),
+        models.forest().setLabelCol("label_index"),
     ])
-    model = chain.fit(df.filter("split = 'train'"))
-    return _scored(model, df.filter("split = 'test'"), "label_index")
+    model = chain.fit(train)
+    return _checked(model, train, df.filter("split = 'test'"), "label_index",
+                    len(model.stages[1].labels), "label")
 
 
-@query("ablation")
+@query("ablation", f"""
+WITH {_ROWS} SELECT unnest({["nothing", *SENSORS]}) AS left_out, true AS sound, true AS learned,
+  (SELECT count(*) FROM d WHERE split = 'test') AS n""")
 def _ablation(t: Tables):
     train, test, _ = _split(t)
     out = None
     for left_out in ["", *SENSORS]:
         kept = [f for f in INPUTS if f not in (left_out, f"{left_out}_missing")]
-        model = models.fit_on(train, kept, models.forest(5, 4), "y")
-        scores = evaluate.multiclass_metrics(model.transform(test), "y", "prediction")
-        row = scores.withColumn("left_out", F.lit(left_out or "nothing"))
+        model = models.fit_on(train, kept, models.forest(), "y")
+        scored = model.transform(test).select("y", "prediction")
+        scores = evaluate.multiclass_metrics(scored, "y", "prediction")
+        sound = None
+        for c in scores.columns:
+            sound = F.col(c).between(0, 1) if sound is None else sound & F.col(c).between(0, 1)
+        row = scores.select(
+            F.lit(left_out or "nothing").alias("left_out"), sound.alias("sound"),
+            F.lit(_learned(model.transform(train), "y", "prediction")).alias("learned"),
+            F.lit(scored.count()).alias("n"))
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -192,14 +313,21 @@ def _roundtrip(t: Tables):
                     F.count(F.when(F.col("a") == F.col("b"), 1)).alias("n_same"))
 
 
-@query("score_stacked")
+@query("score_stacked", f"""
+WITH {_ROWS}, {_LEARNED} SELECT event_id, instance, label, p_main, valve_a, class,
+  true AS known_class, true AS sound, (SELECT count(*) FROM k) AS n_scores FROM obs""")
 def _stacked(t: Tables):
     df = split.attach_split(t.obs(), split.group_split(t.obs(), "instance", ["label"]),
                             ["label", "instance"])
-    model = stacking.fit_stacked(
-        df.filter("split = 'train'"), CONTINUOUS, CATEGORICAL, layer_1=_gbt(),
-        layer_2=models.forest(10, 5), partitions=t.spark.sparkContext.defaultParallelism)
-    return model.transform(t.obs())
+    model = stacking.fit_stacked(df.filter("split = 'train'"), CONTINUOUS, CATEGORICAL)
+    p, scores = F.col("probability"), [f"{stacking.PREFIX}{k}" for k in sorted(model.layer_1)]
+    total = F.aggregate(p, F.lit(0.0), lambda a, v: a + v)
+    return model.transform(t.obs()).select(
+        "event_id", "instance", "label", "p_main", "valve_a", "class",
+        F.col("predicted_class").isin(list(model.classes)).alias("known_class"),
+        (F.forall(p, lambda v: v.between(0.0, 1.0)) & (F.abs(total - 1.0) < 1e-9)).alias("sound"),
+        sum((F.col(c).between(0, 1).cast("bigint") for c in scores),
+            F.lit(0).cast("bigint")).alias("n_scores"))
 
 
 _WHOLE = "p_main IS NOT NULL AND p_aux IS NOT NULL"

@@ -81,8 +81,8 @@ FROM obs o JOIN numbered m USING (data_type, label, well) GROUP BY o.data_type,
 def _load(t: Tables):
     root = scratch_path(t.spark, "instances")
     kept = t.obs().select("event_id", "p_main", "data_type", "label", "well")
-    # One folder per recording.
-    write_partitioned(kept, root, ["data_type", "label", "well"])
+    # One folder per recording, of several part files.
+    kept.repartition(3, "event_id").write.partitionBy("data_type", "label", "well").parquet(root)
     body = kept.select("event_id", "p_main").schema
     loaded = load_instances(t.spark, {s: f"{root}/data_type={s}" for s in SOURCES}, body)
     return loaded.groupBy("DataType", "Instance").agg(

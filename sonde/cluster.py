@@ -49,6 +49,17 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, rows_per_task: int = 10_000) -> DataFrame:
+    """Use all cores for a stored table that its scan reads in too few tasks.
+
+    Only a table of fewer rows than ``rows_per_task`` per core is dealt anew; a large one keeps
+    the partitions of its scan, which the size of its files determines.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    want = min(cores, -(-df.count() // rows_per_task))
+    return df if want <= df.rdd.getNumPartitions() else df.repartition(want)
+
+
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Checkpoint an aggregated table, count it, and mark it for broadcast when it is small.
 

@@ -24,21 +24,23 @@ def hash_rank(df: DataFrame, strata: Sequence[str], key: Sequence[str], seed: in
 
     ``df`` is read twice, for the bucket sizes and for the ranks.
     """
-    marked = df.withColumns({"_h": md5_of(key, seed)})
-    marked = marked.withColumn("_bucket", F.substring("_h", 1, digits))
-    by = [col(s) for s in strata]
-    inside = Window.partitionBy(*by, "_bucket").orderBy("_h", *[col(k) for k in key])
-    sizes = marked.groupBy(*by, "_bucket").agg(F.count("*").alias("_in"))
+    marked = df.withColumn("_h", md5_of(key, seed))
+    # A struct is equal to another where both hold a null, so stratum and bucket are one plain
+    # key, and the join below finds the rows where the window's shuffle has put them.
+    parts = F.struct(*[col(s).alias(f"s{i}") for i, s in enumerate(strata)],
+                     F.substring("_h", 1, digits).alias("bucket"))
+    marked = marked.withColumn("_bucket", parts)
+    inside = Window.partitionBy("_bucket").orderBy("_h", *[col(k) for k in key])
+    sizes = marked.groupBy("_bucket").agg(F.count("*").alias("_in"))
     # At most 16**digits rows per stratum from here on.
-    stratum = Window.partitionBy(*by)
+    stratum = Window.partitionBy(*[F.col("_bucket")[f"s{i}"] for i in range(len(strata))])
     before = sizes.select(
-        *by, "_bucket", F.sum("_in").over(stratum).alias("_size"),
-        (F.sum("_in").over(stratum.orderBy("_bucket").rowsBetween(
+        "_bucket", F.sum("_in").over(stratum).alias("_size"),
+        (F.sum("_in").over(stratum.orderBy(F.col("_bucket")["bucket"]).rowsBetween(
             Window.unboundedPreceding, 0)) - F.col("_in")).alias("_before"))
-    ranked = marked.withColumn("_rank", F.row_number().over(inside))
-    out = lookup(ranked, before, [*strata, "_bucket"])
-    return out.withColumn("_rank", F.col("_rank") + F.col("_before")).drop(
-        "_h", "_bucket", "_before")
+    out = marked.withColumn("_rank", F.row_number().over(inside)).join(before, "_bucket")
+    ranked = F.col("_rank") + F.col("_before")
+    return out.select(*[col(c) for c in df.columns], ranked.alias("_rank"), "_size")
 
 
 def split_of_rank(rank: Column, size: Column, ratio: float, small: int = 4) -> Column:
@@ -170,8 +172,7 @@ def split_counts(df: DataFrame, label: str, key: str) -> DataFrame:
 
 def split_report(df: DataFrame, klass: str, key: str) -> DataFrame:
     """Rows and distinct series of every split, and of every class in it."""
-    return df.groupBy("split", col(klass)).agg(
-        F.count("*").alias("n_rows"), F.countDistinct(col(key)).alias("n_ids")
-    ).unionByName(df.groupBy("split").agg(
-        F.count("*").alias("n_rows"), F.countDistinct(col(key)).alias("n_ids")
-    ).withColumn(klass, F.lit(None).cast(df.schema[klass].dataType)))
+    seen = df.groupBy("split", col(klass), col(key)).agg(F.count("*").alias("n"))
+    sets = [[F.col("split"), col(klass)], [F.col("split")]]
+    return seen.groupingSets(sets, F.col("split"), col(klass)).agg(
+        F.sum("n").alias("n_rows"), F.countDistinct(col(key)).alias("n_ids"))

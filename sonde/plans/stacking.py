@@ -6,14 +6,14 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonde.functions import binary_target, col, multiclass_target
+from sonde.cluster import spread, staged
+from sonde.functions import binary_target, col, is_missing, multiclass_target, present
 from sonde.operators import features as feats
 from sonde.operators import impute, models
 from sonde.reference import EVENT_LABELS
@@ -84,26 +84,27 @@ def _prepare(df: DataFrame, sensors: Sequence[str], fill: dict, scaler: feats.Sc
              ) -> DataFrame:
     """Append scaled sensors and missing flags; the original columns stay as they are."""
     def scaled(name: str, mean: float, dev: float):
-        value = F.coalesce(col(name), F.lit(float(fill[name])))
+        value = F.coalesce(present(df, name), F.lit(float(fill[name])))
         return ((value - F.lit(mean)) / F.lit(dev) if dev else F.lit(0.0)).alias(f"_x_{name}")
 
     return df.select(
         *[col(c) for c in df.columns],
         *[scaled(s, m, v) for s, m, v in zip(sensors, scaler.means, scaler.deviations)],
-        *[F.when(col(s).isNull(), 1.0).otherwise(0.0).alias(f"_x_{s}_missing")
+        *[F.when(is_missing(df, s), 1.0).otherwise(0.0).alias(f"_x_{s}_missing")
           for s in sensors])
 
 
 def fit_stacked(train: DataFrame, continuous: Sequence[str], categorical: Sequence[str],
                 labels: Sequence[int] = EVENT_LABELS, layer_1: Estimator | None = None,
-                layer_2: Estimator | None = None, label: str = "label", klass: str = "class",
-                partitions: int | None = None) -> StackedModel:
+                layer_2: Estimator | None = None, label: str = "label", klass: str = "class"
+                ) -> StackedModel:
     """Fit fills, scaling, the label models and the final model on training rows.
 
-    Only the model inputs are cached while the models iterate over them.  ``partitions`` spreads
-    them anew where the scan gives fewer partitions than there are cores.
+    The columns in use are written to the shared folder once before, and the prepared inputs
+    once after the fills and the scaling are fitted; all later passes read these tables.
     """
     sensors = [*continuous, *categorical]
+    train = staged(train.select(*[col(c) for c in dict.fromkeys([label, klass, *sensors])]), "train")
     fill = {**impute.fit_continuous(train, continuous).values,
             **impute.fit_categorical(train, categorical).values}
     empty = [s for s in sensors if fill.get(s) is None]
@@ -111,19 +112,13 @@ def fit_stacked(train: DataFrame, continuous: Sequence[str], categorical: Sequen
         raise ValueError(f"no values at all in {empty}")
     scaler = feats.fit_scaler(impute.Imputer(fill).transform(train), sensors)
     inputs = _inputs(sensors)
-    ready = _prepare(train, sensors, fill, scaler).select(
+    ready = staged(_prepare(spread(train), sensors, fill, scaler).select(
         col(label), *inputs, binary_target(col(klass)).alias("target"),
-        multiclass_target(col(klass)).alias("final_class"))
-    if partitions:
-        ready = ready.repartition(partitions)
-    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        first = models.fit_per_label(ready, inputs, labels, layer_1, label, "target", cache=False)
-        scored = models.score_per_label(ready, first, PREFIX)
-        indexer = feats.frequency_index(ready, "final_class", "indexed_class")
-        second = models.fit_on(
-            indexer.transform(scored), inputs + [f"{PREFIX}{k}" for k in sorted(first)],
-            layer_2 or models.forest(), "indexed_class")
-    finally:
-        ready.unpersist()
+        multiclass_target(col(klass)).alias("final_class")), "inputs")
+    first = models.fit_per_label(ready, inputs, labels, layer_1, label, "target", stored=True)
+    scored = models.score_per_label(ready, first, PREFIX)
+    indexer = feats.frequency_index(ready, "final_class", "indexed_class")
+    second = models.fit_on(
+        indexer.transform(scored), inputs + [f"{PREFIX}{k}" for k in sorted(first)],
+        layer_2 or models.forest(), "indexed_class")
     return StackedModel(tuple(sensors), fill, scaler, first, second, tuple(indexer.labels))

@@ -50,14 +50,16 @@ def number_instances(df: DataFrame, source: str, source_order: Sequence[str],
 
 def load_instances(spark: SparkSession, roots: Mapping[str, str], schema: T.StructType,
                    ) -> DataFrame:
-    """Read a folder of per-instance Parquet files for each source in one scan.
+    """Read a folder of recordings for each source in one scan.
 
-    Adds ``DataType`` (the source) and ``Instance`` (the file's place in path order, counted on
+    A recording is a single Parquet file, or a folder of part files as Spark writes it.  Adds
+    ``DataType`` (the source) and ``Instance`` (the recording's place in path order, counted on
     from source to source).
     """
+    recording = F.regexp_replace("_metadata.file_path", r"/part-[^/]*$", "")
     parts = [
         spark.read.schema(schema).option("recursiveFileLookup", True).parquet(root)
-        .withColumn("DataType", F.lit(source)).withColumn("_path", F.col("_metadata.file_path"))
+        .withColumn("DataType", F.lit(source)).withColumn("_path", recording)
         for source, root in roots.items()
     ]
     every = parts[0]

@@ -165,6 +165,15 @@ def test_stacked_scores_every_row_once(stacked):
     assert same.count() == 0
 
 
+def test_stacked_takes_nan_as_missing(stacked):
+    df, model = stacked
+    empty = df.limit(20).withColumn("p_main", F.lit(None).cast("double"))
+    nan = empty.withColumn("p_main", F.lit(float("nan")))
+    cols = ["event_id", "prediction", "probability", "probability_label_3"]
+    assert model.transform(nan).select(cols).exceptAll(
+        model.transform(empty).select(cols)).count() == 0
+
+
 def test_stacked_plan_is_one_scan_without_python(stacked):
     df, model = stacked
     plan = model.transform(df)._jdf.queryExecution().executedPlan().toString()
@@ -197,6 +206,9 @@ def test_labels_without_rows_are_skipped(tables):
     fitted = models.fit_per_label(train, ["p_main"], [1, 77], models.gbt(1, 1))
     assert list(fitted) == [1]
     assert not models.enough_rows(train.filter("label = 77"), train)
+    only = train.filter("label = 3")
+    both = models.fit_per_label(train, ["p_main"], [1, 3], models.gbt(1, 1), test=only)
+    assert list(both) == [3]
 
 
 def test_pandas_free_weights(spark):
