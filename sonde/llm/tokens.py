@@ -16,14 +16,24 @@ class Encoder:
     """Encodes whole texts; texts are cut where the tokenizer cuts anyway, and pieces are kept.
 
     ``cut`` is "space" for byte-level vocabularies, whose pieces start with their one space, or
-    "drop" for vocabularies that discard white space.  A text that has white space in other
-    arrangements than the cut is proven for is encoded in one call.  Strings of special tokens
-    in a text are ordinary text.
+    "drop" for vocabularies that discard white space and case.  Texts in Latin letters are cut by
+    the vocabulary's own rule, so that words with other marks or case around them are one piece;
+    other texts are cut at spaces.  A text that has white space in other arrangements than that
+    is proven for is encoded in one call.  Strings of special tokens in a text are ordinary text.
     """
 
     # White space beyond space, tab and line ends, and the mark between joined pieces.
     _ODD = re.compile("[\x01\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029"
                       "\u202f\u205f\u3000]")
+    # Letters whose case and composition are one to one; a text with more is cut at spaces only.
+    _LATIN = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017f"
+    _RARE = re.compile(f"[^\\x00-\\x7f{_LATIN}]")
+    # The rules by which the two kinds of vocabulary cut a text.
+    _ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
+    _RULES = {
+        "space": re.compile(f"{_ENDINGS}| ?[{_LATIN}]+| ?[0-9]+| ?[^\\s{_LATIN}0-9]+"
+                            r"|\s+(?!\S)|\s+"),
+        "drop": re.compile(f"{_ENDINGS}|[{_LATIN}]+|[0-9]|[^\\s{_LATIN}0-9]+")}
     # Spaces that touch other white space.
     _TOUCHING = ("  ", " \n", " \t", " \r", "\n ", "\t ", "\r ")
 
@@ -46,6 +56,8 @@ class Encoder:
     def _pieces(self, text: str) -> list[str] | None:
         if self._ODD.search(text):
             return None
+        if text.isascii() or not self._RARE.search(text):
+            return self._RULES[self.cut].findall(text.lower() if self.cut == "drop" else text)
         if self.cut == "drop":
             return text.split()
         if not text:
@@ -75,10 +87,14 @@ class Encoder:
 
     def _learn(self, pieces: set[str]) -> None:
         new = list(pieces - self.known.keys())
-        if self.cut == "space":  # the first word of a text has no space to part it from others
-            for piece in [p for p in new if p[0] != " "]:
-                self.known[piece] = self._ids(piece).tobytes()
-            new = [p for p in new if p[0] == " "]
+        if self.cut == "space":  # pieces without a space before them would grow together
+            alone = [p for p in new if p[0] != " " or p[-1].isspace()]
+            for at in range(0, len(alone), 8192):
+                part = alone[at:at + 8192]
+                got = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+                self.known.update((p, np.array(g.ids, "<u4").tobytes())
+                                  for p, g in zip(part, got))
+            new = [p for p in new if p[0] == " " and not p[-1].isspace()]
         for at in range(0, len(new), 8192):
             part = new[at:at + 8192]
             self.known.update(zip(part, self._joined(part)))
