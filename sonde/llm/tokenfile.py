@@ -147,12 +147,8 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID,
     return dictionary
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    """(id, start, n_tokens, ids): every document read back; start counts the ids before it.
-
-    Frames are taken in file order, one open file at a time.  A dictionary that does not have the
-    index's hash is an error.
-    """
+def _frames(spark: SparkSession, folder: str):
+    """Rows of the index with their place, in file order, and what turns them into ids in a task."""
     index = spark.read.parquet(f"{folder}/index")
     data = spark.read.parquet(f"{folder}/dictionary").first()
     dictionary = Dictionary(bytes(data["data"]))
@@ -166,12 +162,13 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
               .join(totals, "range").withColumn("start", F.col("inside") + F.col("before"))
               .sortWithinPartitions("file", "offset"))
 
-    def run(batches):
+    def decoded(batches):
+        """For each short batch: its columns id and start, and the ids of every document."""
         expand, name, stream = dictionary.decompressor(), None, None
         try:
             for batch in slices(batches):
-                ids, starts, names, offsets, sizes, widths, hashes = lists(
-                    batch, "id", "start", "file", "offset", "bytes", "width", "dictionary")
+                names, offsets, sizes, widths, hashes = lists(
+                    batch, "file", "offset", "bytes", "width", "dictionary")
                 out = []
                 for file, offset, size, width, hashed in zip(names, offsets, sizes, widths, hashes):
                     if hashed != dictionary.hash:
@@ -184,29 +181,43 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                     stream.seek(offset)
                     plain = expand.decompress(stream.read(size))
                     out.append(np.frombuffer(plain, f"<u{width}").astype("<u4").tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(starts, pa.int64()),
-                     pa.array([len(d) // 4 for d in out], pa.int64()), pa.array(out, pa.binary())],
-                    ["id", "start", "n_tokens", "ids"])
+                yield batch.column(0), batch.column(1), out
         finally:
             if stream is not None:
                 stream.close()
-    return (placed.select("id", "start", "file", "offset", "bytes", "width", "dictionary")
-            .mapInArrow(run, "id long, start long, n_tokens long, ids binary"))
+    return placed.select("id", "start", "file", "offset", "bytes", "width", "dictionary"), decoded
+
+
+def read(spark: SparkSession, folder: str) -> DataFrame:
+    """(id, start, n_tokens, ids): every document read back; start counts the ids before it.
+
+    Frames are taken in file order, one open file at a time.  A dictionary that does not have the
+    index's hash is an error.
+    """
+    placed, decoded = _frames(spark, folder)
+
+    def run(batches):
+        for ids, starts, out in decoded(batches):
+            yield pa.RecordBatch.from_arrays(
+                [ids, starts, pa.array([len(d) // 4 for d in out], pa.int64()),
+                 pa.array(out, pa.binary())], ["id", "start", "n_tokens", "ids"])
+    return placed.mapInArrow(run, "id long, start long, n_tokens long, ids binary")
 
 
 def digests(spark: SparkSession, folder: str) -> DataFrame:
     """One row per document of the files: doc_id, start, n_tokens, ids_crc32.
 
-    A null text was written as empty: the end id alone.  A null doc_id sorts first; repeated rows
-    were written as often as they came.
+    Sums are taken where frames are read, so ids do not leave the task's worker.  A null text was
+    written as empty: the end id alone.  A null doc_id sorts first; repeated rows were written as
+    often as they came.
     """
+    placed, decoded = _frames(spark, folder)
+
     def run(batches):
-        for batch in batches:
-            sums = [zlib.crc32(d.as_py()) for d in batch.column(3)]
+        for ids, starts, out in decoded(batches):
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(sums, pa.int64())],
+                [ids, starts, pa.array([len(d) // 4 for d in out], pa.int64()),
+                 pa.array([zlib.crc32(d) for d in out], pa.int64())],
                 ["id", "start", "n_tokens", "ids_crc32"])
-    return (read(spark, folder)
-            .mapInArrow(run, "id long, start long, n_tokens long, ids_crc32 long")
+    return (placed.mapInArrow(run, "id long, start long, n_tokens long, ids_crc32 long")
             .select(real_id().alias("doc_id"), "start", "n_tokens", "ids_crc32"))

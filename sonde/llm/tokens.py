@@ -12,6 +12,21 @@ import numpy as np
 REMEMBERED = 800_000
 
 
+def _byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write each character below 0x180: a letter for every UTF-8 byte.
+
+    Printable bytes stand for themselves, the others for the characters from 0x100 on.  The mark
+    between joined pieces stays.
+    """
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    spare = iter(range(0x100, 0x200))
+    letter = {b: chr(b if b in shown else next(spare)) for b in range(0x100)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x180) if c != 1}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class Encoder:
     """Encodes whole texts; texts are cut where the tokenizer cuts anyway, and pieces are kept.
 
@@ -44,6 +59,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.cut, self.remembered, self.known = cut, remembered, {}
+        self.model = self.tokenizer.model
         if cut == "space":  # a byte-level token has one character for each of its bytes
             self.width = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
             for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
@@ -85,8 +101,22 @@ class Encoder:
         data = ids.tobytes()
         return [data[4 * lo:4 * hi] for lo, hi in zip(starts.tolist(), cuts.tolist())]
 
-    def _learn(self, pieces: set[str]) -> None:
-        new = list(pieces - self.known.keys())
+    def _merged(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that the tokenizer would neither change nor cut: its model alone."""
+        found = [self.model.tokenize(p)
+                 for p in "\x01".join(pieces).translate(_BYTE_LETTERS).split("\x01")]
+        data = np.array([t.id for tokens in found for t in tokens], "<u4").tobytes()
+        ends = np.cumsum([4 * len(tokens) for tokens in found]).tolist()
+        return [data[lo:hi] for lo, hi in zip([0, *ends], ends)]
+
+    def _learn(self, new: set[str]) -> None:
+        whole = self._RULES[self.cut].fullmatch
+        ready = [p for p in new if whole(p) and not self._RARE.search(p)
+                 and (self.cut == "space" or p == p.lower())]
+        for at in range(0, len(ready), 1024):
+            part = ready[at:at + 1024]
+            self.known.update(zip(part, self._merged(part)))
+        new = list(new.difference(self.known))
         if self.cut == "space":  # pieces without a space before them would grow together
             alone = [p for p in new if p[0] != " " or p[-1].isspace()]
             for at in range(0, len(alone), 8192):
@@ -103,11 +133,13 @@ class Encoder:
         """Ids of each text as little-endian 32-bit integers; null is empty."""
         pieces = [self._pieces(t or "") for t in texts]
         wanted = set().union(*filter(None, pieces))
-        if len(self.known) + len(wanted - self.known.keys()) > self.remembered:
+        new = wanted.difference(self.known)  # walks the wanted pieces, not all known ones
+        if len(self.known) + len(new) > self.remembered:
             # What came first is what comes often: the later half goes.
             for _ in range(len(self.known) // 2):
                 self.known.popitem()
-        self._learn(wanted)
+            new = wanted.difference(self.known)
+        self._learn(new)
         look = self.known.__getitem__
         return [self._ids(t).tobytes() if own is None else b"".join(map(look, own))
                 for t, own in zip(texts, pieces)]

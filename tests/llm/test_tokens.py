@@ -22,3 +22,13 @@ def test_pieces_give_the_ids_of_whole_texts(path, cut, remembered, corpus):
         for text, ids in zip(texts, got):
             want = encoder.tokenizer.encode(text or "", add_special_tokens=False).ids
             assert np.frombuffer(ids, "<u4").tolist() == want, text
+
+
+@pytest.mark.parametrize("path, cut", [(BYTE_BPE, "space"), (WORD_BPE, "drop")])
+def test_every_character_of_latin_texts(path, cut):
+    encoder = Encoder(path, cut)
+    texts = [form.replace("?", chr(c)) for c in range(0x181)
+             for form in ("a?b ?", "??", " ? 's?", "?1 A?\n ?.")]
+    for text, ids in zip(texts, encoder.encode(texts)):
+        want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want, repr(text)
