@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sonde.cluster import scratch_path
-from sonde.llm import (decontaminate, langid, neighbors, packing, paragraphs, pii, sharding,
-                       simhash, suffixes, tokenfile)
+from sonde.llm import (decontaminate, langid, merkle, neighbors, packing, paragraphs, pii,
+                       sharding, simhash, suffixes, tokenfile)
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -81,3 +81,8 @@ def paragraph_dedup(spark, folder):
 def decontamination(spark, folder):
     return decontaminate.contaminated(table(spark, folder, "documents"),
                                       table(spark, folder, "benchmark"))
+
+
+@query("op12_merkle_manifest", merkle.oracle())
+def merkle_manifest(spark, folder):
+    return merkle.verified(table(spark, folder, "documents"))
