@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sonde.cluster import scratch_path
-from sonde.llm import (decontaminate, langid, merkle, neighbors, packing, paragraphs, pii,
-                       sharding, simhash, suffixes, tokenfile)
+from sonde.llm import (decontaminate, langid, merkle, negatives, neighbors, packing, paragraphs,
+                       pii, sharding, simhash, suffixes, tokenfile, toxicity)
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -83,6 +83,17 @@ def decontamination(spark, folder):
                                       table(spark, folder, "benchmark"))
 
 
+@query("op11_toxicity")
+def toxic_documents(spark, folder):
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
 @query("op12_merkle_manifest", merkle.oracle())
 def merkle_manifest(spark, folder):
     return merkle.verified(table(spark, folder, "documents"))
+
+
+@query("op13_hard_negatives", negatives.oracle())
+def hard_negatives(spark, folder):
+    return negatives.mined(table(spark, folder, "embeddings"))
