@@ -368,5 +368,5 @@ def oracle() -> str:
         "vec_id AS negative_id, positive_score, score AS negative_score "
         f"FROM p JOIN s USING (anchor_id) WHERE NOT same AND {LOW} * positive_score <= 100 * score "
         f"AND 100 * score <= {HIGH} * positive_score "
-        f"QUALIFY rank <= {NEGATIVES} "
-        "WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)")
+        "WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) "
+        f"QUALIFY rank <= {NEGATIVES}")
