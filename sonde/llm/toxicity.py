@@ -16,6 +16,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -91,6 +92,17 @@ _SHOUT = re.compile(r"(?:\b[^\W\d_a-zß-öø-ÿ]{3,}\b\W+){3}")
 _CALLS = re.compile(r"[!?]{3}")
 
 
+class Read(NamedTuple):
+    """A text, lower-cased, its words, marks of disguised words, learned stems, and insults."""
+
+    text: str
+    lower: str
+    words: set[str]
+    signs: int
+    stems: list[str]
+    hits: int
+
+
 class Voters:
     """All voters over fixed and learned word lists; ``names`` are in the order of the votes."""
 
@@ -106,26 +118,26 @@ class Voters:
             for w in words:
                 self.owners.setdefault(w, []).append(i)
         self.folded = {_AGAIN.sub(r"\1", w): w for w in self.insults if len(w) > 3}
-        self.memory: dict[str, tuple[tuple[str, ...], int]] = {}
+        self.memory: dict[str, tuple] = {}
         self.you, self.polite = frozenset(YOU.split()), frozenset(POLITE.split())
         self.names = [*self.lists, "address", "disguised", "stretched", "two_insults", "censored",
                       "shouting", "calls", *CLEAN_VOTERS]
 
-    def votes(self, text: str, lower: str, words: dict[str, int], signs: int) -> list[int]:
-        """One vote per voter for a whole text that was ``read``."""
+    def votes(self, read: Read) -> list[int]:
+        """One vote per voter."""
+        text, lower, words, signs = read.text, read.lower, read.words, read.signs
         n = len(self.lists)
         out = [ABSTAIN] * len(self.names)
-        hits = 0
-        said = words.keys() & self.owners.keys()
-        for w in said.union(self.shared(words)):
+        said = words & self.owners.keys() if len(words) < len(self.owners) else {
+            w for w in self.owners if w in words}
+        for w in said.union(read.stems):
             for i in self.owners[w]:
                 out[i] = TOXIC
-            hits += words.get(w, 1) if w in self.insults else 0
-        if hits and not self.you.isdisjoint(words):
+        if read.hits and not self.you.isdisjoint(words):
             out[n] = TOXIC if self._addressed(lower) else ABSTAIN
         out[n + 1] = TOXIC if signs & 1 else ABSTAIN
         out[n + 2] = TOXIC if signs & 2 else ABSTAIN
-        out[n + 3] = TOXIC if hits > 1 else ABSTAIN
+        out[n + 3] = TOXIC if read.hits > 1 else ABSTAIN
         # Plain searches spare most texts the patterns.
         censored = any(c in text for c in "*#@$%")
         out[n + 4] = TOXIC if censored and _CENSORED.search(text) else ABSTAIN
@@ -139,16 +151,6 @@ class Voters:
         out[n + 10] = CLEAN if contact else ABSTAIN
         return out
 
-    def shared(self, words: Iterable[str]) -> list[str]:
-        """Learned stems of a text, with their star."""
-        some = [w for w in words if w[:STEMS[0]] in self.heads]
-        return [f"{stem}*" for stem in stems_of(some) if stem in self.stems] if some else []
-
-    def buckets(self, words: Iterable[str]) -> set[int]:
-        """Words and learned stems of a text, hashed."""
-        return {zlib.crc32(w.encode("utf-8", "replace")) % BUCKETS
-                for w in [*words, *self.shared(words)]}
-
     def _addressed(self, lower: str) -> bool:
         """Whether an insult stands within six words of a word for "you"."""
         last_you = last_insult = -7
@@ -164,21 +166,37 @@ class Voters:
                 return True
         return False
 
-    def read(self, text: str | None) -> tuple[str, str, dict[str, int], int]:
-        """The text, lower-cased, its words with their counts, and how words of the lists are
-        disguised in it.  What a token holds is remembered, as most tokens come again."""
+    def read(self, text: str | None) -> Read:
+        """Look at a whole text once.  What a token holds is remembered, as most come again."""
         text = text or ""
-        lower, words, signs = text.lower(), {}, 0
+        lower = text.lower()
+        words, signs, some, hits, memory = set(), 0, set(), 0, self.memory
         for token, n in Counter(lower.split()).items():
-            held = self.memory.get(token)
+            held = memory.get(token)
             if held is None:
-                if len(self.memory) >= REMEMBERED:
-                    self.memory.clear()
-                held = self.memory[token] = tuple(_WORD.findall(token)), self._disguise(token)
-            signs |= held[1]
-            for w in held[0]:
-                words[w] = words.get(w, 0) + n
-        return text, lower, words, signs
+                if len(memory) >= REMEMBERED:
+                    memory.clear()
+                held = memory[token] = self._token(token)
+            if held.__class__ is str:
+                words.add(held)
+            else:
+                found, sign, heads, insults = held
+                words.update(found)
+                signs |= sign
+                some.update(heads)
+                hits += n * insults
+        stems = [f"{stem}*" for stem in stems_of(some) if stem in self.stems] if some else []
+        return Read(text, lower, words, signs, stems, hits)
+
+    def _token(self, token: str):
+        """The only word of an ordinary token; else its words, disguises, words that begin like
+        learned stems, and the number of insults."""
+        found, sign = _WORD.findall(token), self._disguise(token)
+        heads = [w for w in found if w[:STEMS[0]] in self.heads]
+        insults = sum(w in self.insults for w in found)
+        if len(found) == 1 and not (sign or heads or insults):
+            return found[0]
+        return found, sign, heads, insults
 
     def _disguise(self, token: str) -> int:
         """Whether a word of the lists is written with signs or digits (1) or drawn-out letters (2)."""
@@ -194,6 +212,10 @@ class Voters:
         return 2 if known is not None and known != bare else 0
 
 
+def bucket(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "replace")) % BUCKETS
+
+
 def stems_of(words: Iterable[str]) -> list[str]:
     """Stems that several of the (different) words of a text begin with."""
     forms = Counter(w[:k] for w in words for k in STEMS if len(w) > k)
@@ -432,7 +454,7 @@ def learn_lists(docs: DataFrame, marks: DataFrame, labelled: int = LABELLED, mos
         for batch in slices(batches):
             every, toxic = Counter(), Counter()
             for text, mark in zip(*lists(batch, "text", "mark")):
-                words = voters.read(text)[2]
+                words = voters.read(text).words
                 found = [w for w in words if len(w) > 2] + [f"{s}*" for s in stems_of(words)]
                 every.update(found)
                 if mark:
@@ -476,8 +498,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, labelled: int
         for batch in slices(batches):
             ids, texts, drawn = lists(batch, "id", "text", "drawn")
             read = [voters.read(t) for t in texts]
-            votes = ["".join(map(str, voters.votes(*r))) for r in read]
-            words = [sorted(voters.buckets(r[2])) if d else None for r, d in zip(read, drawn)]
+            votes = ["".join(map(str, voters.votes(r))) for r in read]
+            words = [sorted({bucket(w) for w in [*r.words, *r.stems]}) if d else None
+                     for r, d in zip(read, drawn)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(votes, pa.string()),
                  pa.array(words, pa.list_(pa.int64()))], ["id", "votes", "words"])
@@ -557,13 +580,22 @@ def score(docs: DataFrame, model: Model, folds: int = FOLDS) -> DataFrame:
     at = {b: i for i, b in enumerate(model.buckets)}
 
     def run(batches):
-        voters = Voters(model.learned)
+        voters, places = Voters(model.learned), {}
         for batch in slices(batches):
             ids, texts, held = lists(batch, "id", "text", "held_out")
             read = [voters.read(t) for t in texts]
-            votes = np.array([voters.votes(*r) for r in read]).reshape(len(read), -1)
-            present = np.array([_present(voters.buckets(r[2]), at) for r in read])
-            x = features(votes, present.reshape(len(read), -1))
+            votes = np.array([voters.votes(r) for r in read]).reshape(len(read), -1)
+            present = np.zeros((len(read), len(at)))
+            for row, r in zip(present, read):
+                for w in (*r.words, *r.stems):
+                    place = places.get(w)
+                    if place is None:
+                        if len(places) >= REMEMBERED:
+                            places.clear()
+                        place = places[w] = at.get(bucket(w), -1)
+                    if place >= 0:
+                        row[place] = 1
+            x = features(votes, present)
             line = model.weights[0] + x @ model.weights[1:]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(held, pa.bool_()),

@@ -14,7 +14,7 @@ from tests.llm.test_rows import rows
 
 def votes(text, learned=()):
     voters = tox.Voters([list(w) for w in learned])
-    return {n: v for n, v in zip(voters.names, voters.votes(*voters.read(text))) if v}
+    return {n: v for n, v in zip(voters.names, voters.votes(voters.read(text))) if v}
 
 
 @pytest.mark.parametrize("text, toxic", [
