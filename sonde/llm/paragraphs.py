@@ -1,4 +1,9 @@
-"""Substring dedup by paragraph MinHash banding, exact Jaccard and components."""
+"""Substring dedup by paragraph MinHash banding, exact Jaccard and components.
+
+Paragraphs are cut where the words themselves say so: behind a word pair whose hash is the least
+among its neighbours.  A passage is therefore cut in the same way wherever it stands, whatever
+lines and sentences surround it, and every word of a text belongs to one paragraph.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +12,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sonde.llm.components import components
@@ -15,11 +20,12 @@ from sonde.llm.frames import keyed, lists, real_id, slices, staged
 
 SHINGLE, SIMILARITY = 5, 0.8
 
-# Paragraphs of fewer words are left alone; lines of more than LONG words are cut at sentence ends.
-LEAST, LONG = 20, 120
+# A paragraph ends where a word pair's hash is the least of those this many words to either side:
+# paragraphs have more words than this, and twice as many on average.
+REACH = 6
 
 # Wanted chance that a pair at the threshold collides, and hashes of a band.
-RECALL, ROWS = 0.995, 3
+RECALL, ROWS = 0.995, 2
 
 # Members of a candidate component that one task holds; larger ones are compared block by block.
 BLOCK = 1024
@@ -35,43 +41,60 @@ def bands_for(similarity: float = SIMILARITY, recall: float = RECALL, rows: int
     return bands
 
 
-def split(text: str | None, least: int = LEAST, long: int = LONG):
-    """(number, start, end, words) of the paragraphs that are judged, in code points.
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return values ^ (values >> np.uint64(32))
 
-    Paragraphs are lines; a line of more than ``long`` words is cut behind words that end with a
-    full stop, question or exclamation mark.  Words are lower-cased.  Parts of fewer than
-    ``least`` words keep their number but are not judged.
-    """
-    number = at = 0
-    for line in (text or "").split("\n"):
-        if len(line) >= 2 * least - 1:
-            found = [(m.start(), m.end()) for m in _WORD.finditer(line)]
-            cuts = [0, len(found)]
-            if len(found) > long:
-                cuts = [0, *[k + 1 for k, (_, b) in enumerate(found[:-1]) if line[b - 1] in ".!?"],
-                        len(found)]
-            for lo, hi in zip(cuts, cuts[1:]):
-                if hi - lo >= least:
-                    a, b = found[lo][0], found[hi - 1][1]
-                    yield number, at + a, at + b, line[a:b].lower().split()
-                number += 1
-        else:
-            number += 1
-        at += len(line) + 1
-
-
-def shingle_hashes(words: list[str], size: int = SHINGLE) -> np.ndarray:
-    """Distinct 64-bit hashes of the word shingles."""
-    data = [w.encode() for w in words]
-    joined = b" ".join(data)
-    length = np.fromiter(map(len, data), np.int64, len(data))
-    start = np.concatenate([[0], np.cumsum(length[:-1] + 1)])
-    last = max(len(data) - size, 0)
+
+def _grams(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` words, from the words' hashes."""
+    total = np.zeros(len(words) - size + 1, np.uint64)
+    for k in range(size):
+        total = _mixed(total + words[k:len(words) - size + 1 + k])
+    return total
+
+
+def word_hashes(words: list[str]) -> np.ndarray:
+    """64-bit hashes of lower-cased words."""
     digest = xxhash.xxh3_64_intdigest
-    return np.unique(np.array(
-        [digest(joined[a:b]) for a, b in zip(start[:last + 1].tolist(),
-                                             (start + length)[len(data) - 1 - last:].tolist())],
-        dtype=np.uint64))
+    return np.array([digest(w.encode("utf-8", "replace")) for w in words], np.uint64)
+
+
+def cuts(words: np.ndarray, reach: int = REACH) -> np.ndarray:
+    """Numbers of words before each cut, 0 and the number of all words included.
+
+    A cut lies behind word k if the hash of words k and k + 1 is less than those of the ``reach``
+    pairs before, and not greater than those of the ``reach`` pairs after it.
+    """
+    if len(words) < 2:
+        return np.unique([0, len(words)])
+    pairs = _grams(words, 2)
+    n, edge = len(pairs), np.full(reach, 2 ** 64 - 1, np.uint64)
+    wide = np.concatenate([edge, pairs, edge])
+    least = np.ones(n, bool)
+    for k in range(1, reach + 1):
+        least &= (pairs < wide[reach - k:reach - k + n]) & (pairs <= wide[reach + k:reach + k + n])
+    return np.unique(np.concatenate([[0], np.flatnonzero(least) + 1, [len(words)]]))
+
+
+def split(text: str | None, reach: int = REACH):
+    """Word places (code points, end exclusive), the words' hashes, and the cuts between them."""
+    text = text or ""
+    found = [m.span() for m in _WORD.finditer(text)]
+    # Lower-casing may change a word's length, so words are cut out first.
+    words = word_hashes(text.lower().split() if text.isascii()
+                        else [text[a:b].lower() for a, b in found])
+    return found, words, cuts(words, reach)
+
+
+def shingles_of(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """Hashes of the word shingles; fewer words are one shingle."""
+    return _grams(words, min(size, len(words)))
+
+
+def node_of(words: np.ndarray) -> int:
+    """Name of a paragraph: 64 bits of the hash of its words."""
+    return xxhash.xxh3_64_intdigest(words.tobytes(), 1) - (1 << 63)
 
 
 def _multipliers(count: int) -> np.ndarray:
@@ -95,20 +118,18 @@ def band_keys(sets: list[np.ndarray], bands: int, rows: int = ROWS) -> np.ndarra
     return keys
 
 
-def occurrences(docs: DataFrame, bands: int, shingle: int = SHINGLE, least: int = LEAST,
-                long: int = LONG) -> DataFrame:
-    """(id, number, begin, stop, words, node, bands): every judged paragraph.
-
-    ``node`` names the lower-cased words by 64 bits of their hash.
-    """
+def occurrences(docs: DataFrame, bands: int, shingle: int = SHINGLE, reach: int = REACH
+                ) -> DataFrame:
+    """(id, number, begin, stop, words, node, bands): every paragraph of every text."""
     def run(batches):
         for batch in slices(batches, 128):
             rows, sets = [], []
             for i, text in zip(*lists(batch, "id", "text")):
-                for number, a, b, words in split(text, least, long):
-                    node = xxhash.xxh3_64_intdigest(" ".join(words).encode(), 1)
-                    rows.append((i, number, a, b, len(words), node - (1 << 63)))
-                    sets.append(shingle_hashes(words, shingle))
+                found, words, ends = split(text, reach)
+                for number, (lo, hi) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
+                    rows.append((i, number, found[lo][0], found[hi - 1][1], hi - lo,
+                                 node_of(words[lo:hi])))
+                    sets.append(shingles_of(words[lo:hi], shingle))
             keys = band_keys(sets, bands).view(np.int64) if sets else np.zeros((0, bands), np.int64)
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
             flat = pa.array(keys.ravel())
@@ -197,8 +218,8 @@ def _verified(groups: DataFrame, similarity: float) -> DataFrame:
 
 
 def near_links(docs: DataFrame, found: DataFrame, shingle: int = SHINGLE,
-               similarity: float = SIMILARITY, least: int = LEAST, long: int = LONG,
-               block: int = BLOCK) -> DataFrame:
+               similarity: float = SIMILARITY, reach: int = REACH, block: int = BLOCK
+               ) -> DataFrame:
     """Links (a, b) between nodes at the similarity or more, enough to span their components.
 
     Nodes that share a band key are candidates.  Candidates that hang together are brought
@@ -220,12 +241,14 @@ def near_links(docs: DataFrame, found: DataFrame, shingle: int = SHINGLE,
         for batch in slices(batches, 128):
             rows = []
             for text, own in zip(*lists(batch, "text", "wanted")):
-                chosen = {w["number"]: w for w in own}
-                for number, _, _, words in split(text, least, long):
-                    w = chosen.get(number)
-                    if w and w["node"] == xxhash.xxh3_64_intdigest(
-                            " ".join(words).encode(), 1) - (1 << 63):
-                        rows.append((w["root"], w["node"], shingle_hashes(words, shingle).tobytes()))
+                _, words, ends = split(text, reach)
+                for w in own:
+                    # Repeated rows of an id may hold another text.
+                    if w["number"] + 1 < len(ends):
+                        part = words[ends[w["number"]]:ends[w["number"] + 1]]
+                        if w["node"] == node_of(part):
+                            rows.append((w["root"], w["node"],
+                                         np.unique(shingles_of(part, shingle)).tobytes()))
             kinds = [pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(list(zip(*rows)) or [[]] * 3, kinds)],
@@ -244,18 +267,18 @@ def near_links(docs: DataFrame, found: DataFrame, shingle: int = SHINGLE,
 
 
 def repeated(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY,
-             least: int = LEAST, long: int = LONG, recall: float = RECALL) -> DataFrame:
+             reach: int = REACH, recall: float = RECALL) -> DataFrame:
     """One row per paragraph to remove: doc_id, paragraph, start, end, n_words, kept_doc_id,
     kept_paragraph.
 
     Paragraphs are linked when their lower-cased words are equal or the Jaccard similarity of their
     word shingles reaches the threshold; of each component the first paragraph by (doc_id, number)
-    stays.  Null or empty texts have no paragraphs; a null doc_id comes first; in repeated rows of
+    stays.  All words are judged; a text of few words is one paragraph, and so is a long run of one
+    word.  Null or empty texts have no paragraphs; a null doc_id comes first; in repeated rows of
     one doc_id each paragraph counts once.
     """
-    found = staged(occurrences(docs, bands_for(similarity, recall), shingle, least, long),
-                   "paragraphs")
-    links = near_links(docs, found, shingle, similarity, least, long)
+    found = staged(occurrences(docs, bands_for(similarity, recall), shingle, reach), "paragraphs")
+    links = near_links(docs, found, shingle, similarity, reach)
     roots = components(links)
     rows = found.select("id", "number", "begin", "stop", "words", "node")
     # Nodes first: one row per text, combined before the shuffle, decides what stays.

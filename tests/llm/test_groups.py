@@ -1,6 +1,7 @@
 """Operators that find repeats between documents or vectors, against brute force."""
 
 import hashlib
+import re
 
 import numpy as np
 import pytest
@@ -93,14 +94,30 @@ def test_suffix_dedup_odd(odd, empty):
 
 # --- paragraphs ---------------------------------------------------------------------------------
 
+def plain_units(text, reach=paragraphs.REACH):
+    """Paragraphs of a text, word by word: (start, end, words)."""
+    found = [(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"\S+", text or "")]
+    if not found:
+        return []
+    pair = [int(paragraphs._grams(paragraphs.word_hashes([a[2], b[2]]), 2)[0])
+            for a, b in zip(found, found[1:])]
+    units, start = [], 0
+    for k, h in enumerate(pair):
+        if all(h < x for x in pair[max(0, k - reach):k]) and all(h <= x for x in pair[k + 1:k + 1 + reach]):
+            units.append(found[start:k + 1])
+            start = k + 1
+    units.append(found[start:])
+    return [(u[0][0], u[-1][1], [w for _, _, w in u]) for u in units]
+
+
 def brute_paragraphs(corpus):
     nodes, places = {}, []
     for i, text in sorted(corpus.items()):
-        for number, a, b, words in paragraphs.split(text):
+        for number, (a, b, words) in enumerate(plain_units(text)):
             key = " ".join(words)
             grams = {tuple(words[k:k + 5]) for k in range(max(len(words) - 4, 1))}
             nodes.setdefault(key, (len(nodes), grams))
-            places.append((i, number, key))
+            places.append((i, number, a, b, len(words), key))
     index = {}
     for key, (n, grams) in nodes.items():
         for g in grams:
@@ -113,10 +130,10 @@ def brute_paragraphs(corpus):
                 links.add((n, m))
     root = brute_components(sets, links)
     first, gone = {}, set()
-    for i, number, key in places:
+    for i, number, a, b, size, key in places:
         r = root[nodes[key][0]]
         if r in first:
-            gone.add((i, number, *first[r]))
+            gone.add((i, number, a, b, size, *first[r]))
         first.setdefault(r, (i, number))
     return gone
 
@@ -126,13 +143,49 @@ def test_paragraphs(spark, sf):
     docs = table(spark, f"/root/testdata/{sf}", "documents")
     corpus = {r["doc_id"]: r["text"] for r in docs.collect()}
     got = rows(paragraphs.repeated(docs))
-    for r in got:
-        assert len(corpus[r["doc_id"]][r["start"]:r["end"]].split()) == r["n_words"] >= 20
     want = brute_paragraphs(corpus)
-    have = {(r["doc_id"], r["paragraph"], r["kept_doc_id"], r["kept_paragraph"]) for r in got}
+    have = {(r["doc_id"], r["paragraph"], r["start"], r["end"], r["n_words"], r["kept_doc_id"],
+             r["kept_paragraph"]) for r in got}
     assert len(have) == len(got) and len(have & want) >= 0.99 * len(want) and have <= want
 
 
+def test_every_word_is_in_one_paragraph(corpus):
+    for text in corpus.values():
+        found, words, cuts = paragraphs.split(text)
+        assert len(found) == len(words) == len((text or "").split())
+        assert cuts[0] == 0 and cuts[-1] == len(words) and (np.diff(cuts) > 0).all()
+        inner = np.diff(cuts)[1:-1]
+        assert not len(inner) or inner.min() > paragraphs.REACH
+
+
+def test_passages_are_found_in_any_surroundings(spark):
+    """Passages of 51 to 80 words in other lines and sentences; found by words alone, no cuts."""
+    rng = np.random.default_rng(12)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    passages = [[word() for _ in range(int(rng.integers(51, 81)))] for _ in range(60)]
+    docs, where = [], {}
+    for i in range(240):
+        before, after = ([word() for _ in range(int(rng.integers(5, 60)))] for _ in range(2))
+        if i < 180:
+            middle = passages[i % 60]
+            if i // 60 == 1:  # other case, line ends and spaces
+                middle = [w.upper() if k % 3 == 0 else w for k, w in enumerate(middle)]
+            glue = [" ", "\n", "  "][i // 60]
+            head = " ".join(before) + [". ", "\n", " "][i // 60]
+            body = glue.join(middle)
+            where[i] = (len(head), len(head) + len(body))
+            docs.append((i, head + body + " " + " ".join(after)))
+        else:
+            docs.append((i, " ".join(before + after) + "."))
+    got = rows(paragraphs.repeated(spark.createDataFrame(docs, "doc_id long, text string")))
+    hit = {r["doc_id"] for r in got}
+    assert not hit & set(range(60)) and not hit & set(range(180, 240))
+    assert len(hit) >= 0.95 * 120
+    for r in got:
+        a, b = where[r["doc_id"]]  # a similar paragraph may reach out of the passage a little
+        assert min(b, r["end"]) - max(a, r["start"]) >= 0.7 * (r["end"] - r["start"])
+
+
 def test_similar_sets_match_brute_force():
     rng = np.random.default_rng(6)
     for _ in range(20):
@@ -171,9 +224,10 @@ def test_large_candidate_groups_are_compared_by_blocks(spark):
 def test_paragraphs_odd(odd, empty):
     got = rows(paragraphs.repeated(odd))
     assert {r["doc_id"] for r in got} >= {5, 7}
-    assert not {0, 1, 2, 3, 10, 13, 14} & {r["doc_id"] for r in got}
+    assert not {0, 1, 2, 3, 10, 13} & {r["doc_id"] for r in got}
+    assert {(r["doc_id"], r["kept_doc_id"]) for r in got if r["n_words"] == 1} == {(14, 13)}
     assert paragraphs.repeated(empty).count() == 0
-    assert paragraphs.bands_for(0.8, 0.995, 3) == 8
+    assert paragraphs.bands_for(0.8, 0.995, 3) == 8 and paragraphs.bands_for() == 6
 
 
 # --- vectors ------------------------------------------------------------------------------------
