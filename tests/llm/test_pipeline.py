@@ -45,3 +45,22 @@ def test_stages_keep_columns_and_take_odd_rows(spark, folder, odd, empty):
             out = stage(spark, docs, folder)
             assert out.columns == docs.columns
             assert out.count() <= docs.count()
+
+
+def test_stages_decide_on_rows(spark, folder):
+    """Null and repeated ids, equal rows, and one id for a clean text and a benchmark item."""
+    item = table(spark, folder, "benchmark").orderBy("item_id").first()["text"]
+    rng = np.random.default_rng(3)
+    clean, other = (" ".join("".join(rng.choice(list("abcdefgh"), 7)) for _ in range(60))
+                    for _ in range(2))
+    data = [(None, item), (1, item), (2, clean), (2, item), (3, clean + " x"), (4, other), (4, other)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in data],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = lambda df: sorted(((r["doc_id"], r["text"]) for r in rows(df)), key=str)
+    got = kept(corpus_pipeline.decontamination(spark, docs, folder))
+    assert got == sorted([(2, clean), (3, clean + " x"), (4, other), (4, other)], key=str)
+    # The item's copies are one group (its smallest id is 1), the two equal rows another.
+    got = kept(corpus_pipeline.simhash_near_dedup(spark, docs, folder))
+    assert got == sorted([(1, item), (2, clean), (4, other)], key=str)
+    clash = docs.withColumnsRenamed({"source": "row", "lang": "group"})
+    assert kept(corpus_pipeline.simhash_near_dedup(spark, clash, folder)) == got
