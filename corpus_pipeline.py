@@ -1,7 +1,8 @@
 """A training-data pipeline: five stages over ``documents``, each one operator of sonde.llm.
 
 A stage takes what its predecessor kept and decides on all of it.  All stages but the last return
-the columns of the documents; the last returns the packed pieces.
+the columns of the documents; the last returns the packed pieces.  Stages decide on rows, not on
+ids: doc_id may be null, or name different texts.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonde.cluster import scratch_path
+from sonde.cluster import scratch_path, staged
 from sonde.llm import decontaminate, langid, packing, pii, simhash
 from sonde.llm.queries import BYTE_BPE, table
 
@@ -19,17 +20,39 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.accepted(docs, langid.fit(docs))
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a number of their own per row, and the name of that column.
+
+    The numbers are written with the rows, so that later reads agree on them.
+    """
+    row = "row"
+    while row in docs.columns:
+        row += "_"
+    return staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+
+
+def _without(docs: DataFrame, row: str, gone: DataFrame) -> DataFrame:
+    return docs.join(gone, row, "left_anti").drop(row)
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each near-duplicate group the document with the smallest doc_id stays."""
-    marks = simhash.near_duplicates(docs)
-    gone = marks.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each near-duplicate group one row stays: the smallest doc_id (null after all others)."""
+    rows, row = _numbered(docs)
+    marks = simhash.near_duplicates(rows.withColumn("doc_id", F.col(row))).select(
+        F.col("doc_id").alias(row), F.col("component_id").alias("group"))
+    # Only ids and numbers meet here.
+    named = marks.join(rows.select(row, F.col("doc_id").alias("id")), row)
+    place = F.struct(F.col("id").isNull().alias("none"), "id", row)
+    kept = named.groupBy("group").agg(F.min(place)[row].alias(row))
+    return _without(rows, row, marks.select(row).join(kept, row, "left_anti"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item go."""
-    hits = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(hits.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    rows, row = _numbered(docs)
+    hits = decontaminate.contaminated(rows.withColumn("doc_id", F.col(row)),
+                                      table(spark, sf_dir, "benchmark"))
+    return _without(rows, row, hits.select(F.col("doc_id").alias(row)).distinct())
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
