@@ -21,7 +21,7 @@ from sonde.llm.frames import keyed, lists, real_id, slices, staged
 SHINGLE, SIMILARITY = 5, 0.8
 
 # A paragraph ends where a word pair's hash is the least of those this many words to either side:
-# paragraphs have more words than this, and twice as many on average.
+# paragraphs have more words than this (shorter texts excepted), and twice as many on average.
 REACH = 6
 
 # Wanted chance that a pair at the threshold collides, and hashes of a band.
@@ -64,17 +64,16 @@ def cuts(words: np.ndarray, reach: int = REACH) -> np.ndarray:
     """Numbers of words before each cut, 0 and the number of all words included.
 
     A cut lies behind word k if the hash of words k and k + 1 is less than those of the ``reach``
-    pairs before, and not greater than those of the ``reach`` pairs after it.
+    pairs before, and not greater than those of the ``reach`` pairs after it, all of which exist.
     """
-    if len(words) < 2:
+    n = len(words) - 1 - 2 * reach
+    if n < 1:
         return np.unique([0, len(words)])
-    pairs = _grams(words, 2)
-    n, edge = len(pairs), np.full(reach, 2 ** 64 - 1, np.uint64)
-    wide = np.concatenate([edge, pairs, edge])
-    least = np.ones(n, bool)
+    pairs, least = _grams(words, 2), np.ones(n, bool)
+    middle = pairs[reach:reach + n]
     for k in range(1, reach + 1):
-        least &= (pairs < wide[reach - k:reach - k + n]) & (pairs <= wide[reach + k:reach + k + n])
-    return np.unique(np.concatenate([[0], np.flatnonzero(least) + 1, [len(words)]]))
+        least &= (middle < pairs[reach - k:][:n]) & (middle <= pairs[reach + k:][:n])
+    return np.concatenate([[0], np.flatnonzero(least) + reach + 1, [len(words)]])
 
 
 def split(text: str | None, reach: int = REACH):
