@@ -12,7 +12,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sonde.llm.components import components
@@ -22,11 +22,14 @@ SHINGLE, SIMILARITY = 5, 0.8
 
 # A paragraph ends where a word pair's hash is the least of those this many words to either side:
 # paragraphs have more words than this (shorter texts excepted), and twice as many on average.
-REACH = 6
+REACH = 7
 
 # Wanted chance that a pair at the threshold collides, and hashes of a band.
 RECALL, ROWS = 0.995, 2
 
+# Paragraphs a task remembers, so that it passes on the keys of each only once.
+MET = 500_000
+
 # Members of a candidate component that one task holds; larger ones are compared block by block.
 BLOCK = 1024
 
@@ -91,23 +94,43 @@ def shingles_of(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     return _grams(words, min(size, len(words)))
 
 
-def node_of(words: np.ndarray) -> int:
-    """Name of a paragraph: 64 bits of the hash of its words."""
-    return xxhash.xxh3_64_intdigest(words.tobytes(), 1) - (1 << 63)
+def nodes_of(words: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Names of the paragraphs between the cuts: 64-bit sums over their words and word places."""
+    if len(ends) < 2:
+        return np.zeros(0, np.int64)
+    place = np.arange(len(words)) - np.repeat(ends[:-1], np.diff(ends)) + 1
+    mixed = _mixed(words + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return _mixed(np.add.reduceat(mixed, ends[:-1])).view(np.int64)
+
+
+def shingled(words: np.ndarray, ends: np.ndarray, size: int = SHINGLE):
+    """Shingle hashes of all paragraphs in a row, and how many each has."""
+    lengths = np.diff(ends)
+    if len(lengths) == 0 or lengths.min() < size:
+        parts = [shingles_of(words[a:b], size) for a, b in zip(ends[:-1], ends[1:])]
+        return (np.concatenate(parts) if parts else np.zeros(0, np.uint64),
+                np.array([len(p) for p in parts], np.int64))
+    # No shingle crosses a cut: those that begin in a paragraph's last words are left out.
+    inside = np.ones(len(words) - size + 1, bool)
+    for k in range(1, size):
+        inside[ends[1:-1] - k] = False
+    return _grams(words, size)[inside], lengths - size + 1
 
 
 def _multipliers(count: int) -> np.ndarray:
     return np.random.default_rng(11).integers(1, 2 ** 63, count).astype(np.uint64) * 2 + 1
 
 
-def band_keys(sets: list[np.ndarray], bands: int, rows: int = ROWS) -> np.ndarray:
-    """One 64-bit key per set and band, from the minima of ``rows`` hash functions."""
-    flat = np.concatenate(sets)
-    starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]]).astype(np.int64)
+def band_keys(flat: np.ndarray, counts: np.ndarray, bands: int, rows: int = ROWS) -> np.ndarray:
+    """One 64-bit key per set and band, from the minima of ``rows`` hash functions.
+
+    The sets lie in ``flat`` one behind the other, ``counts`` numbers each (none is empty).
+    """
+    starts = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
     factors = _multipliers(bands * rows)
-    keys = np.empty((len(sets), bands), np.uint64)
+    keys = np.empty((len(counts), bands), np.uint64)
     for b in range(bands):
-        key = np.full(len(sets), b + 1, np.uint64)
+        key = np.full(len(counts), b + 1, np.uint64)
         for k in range(rows):
             mixed = flat * factors[b * rows + k]
             low = np.minimum.reduceat(mixed ^ (mixed >> np.uint64(32)), starts)
@@ -119,24 +142,50 @@ def band_keys(sets: list[np.ndarray], bands: int, rows: int = ROWS) -> np.ndarra
 
 def occurrences(docs: DataFrame, bands: int, shingle: int = SHINGLE, reach: int = REACH
                 ) -> DataFrame:
-    """(id, number, begin, stop, words, node, bands): every paragraph of every text."""
+    """(id, number, begin, stop, words, node, bands): every paragraph of every text.
+
+    ``bands`` is null where the same task has just met the paragraph: copies are combined before
+    any shuffle.
+    """
+    names = ["id", "number", "begin", "stop", "words", "node", "bands"]
+
     def run(batches):
+        met: set[int] = set()
         for batch in slices(batches, 128):
-            rows, sets = [], []
+            columns = {n: [np.zeros(0, np.int64)] for n in names[:-1]}
+            sets, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for i, text in zip(*lists(batch, "id", "text")):
                 found, words, ends = split(text, reach)
-                for number, (lo, hi) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
-                    rows.append((i, number, found[lo][0], found[hi - 1][1], hi - lo,
-                                 node_of(words[lo:hi])))
-                    sets.append(shingles_of(words[lo:hi], shingle))
-            keys = band_keys(sets, bands).view(np.int64) if sets else np.zeros((0, bands), np.int64)
+                n = len(ends) - 1
+                if n == 0:
+                    continue
+                for name, values in zip(columns, (
+                        np.full(n, i), np.arange(n), [found[k][0] for k in ends[:-1]],
+                        [found[k - 1][1] for k in ends[1:]], np.diff(ends), nodes_of(words, ends))):
+                    columns[name].append(np.asarray(values, np.int64))
+                for out, part in zip((sets, counts), shingled(words, ends, shingle)):
+                    out.append(part)
+            columns = {n: np.concatenate(v) for n, v in columns.items()}
+            flat, count, node = np.concatenate(sets), np.concatenate(counts), columns["node"]
+            new = np.zeros(len(node), bool)
+            for k, name in enumerate(node.tolist()):
+                if name not in met:
+                    new[k] = True
+                    met.add(name)
+            if len(met) > MET:
+                met = set()
+            keys = np.zeros((0, bands), np.int64)
+            if new.any():
+                keys = band_keys(flat[np.repeat(new, count)], count[new], bands).view(np.int64)
+            ends = np.concatenate([[0], np.cumsum(new) * bands]).astype(np.int32)
+            given = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))
+            given = pa.ListArray.from_buffers(
+                given.type, len(given),
+                [pa.py_buffer(np.packbits(new, bitorder="little").tobytes()), given.buffers()[1]],
+                children=[given.values])
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-            flat = pa.array(keys.ravel())
-            ends = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * bands)
             yield pa.RecordBatch.from_arrays(
-                [*[pa.array(c, k) for c, k in zip(list(zip(*rows)) or [[]] * 6, kinds)],
-                 pa.ListArray.from_arrays(ends, flat)],
-                ["id", "number", "begin", "stop", "words", "node", "bands"])
+                [*[pa.array(columns[n], k) for n, k in zip(names, kinds)], given], names)
     return keyed(docs, "text").mapInArrow(
         run, "id long, number int, begin long, stop long, words int, node long, bands array<long>")
 
@@ -226,10 +275,9 @@ def near_links(docs: DataFrame, found: DataFrame, shingle: int = SHINGLE,
     candidates is compared by pairs of blocks, so no task holds more than two blocks.
     """
     keys = found.select("node", F.explode("bands").alias("band"))
-    # Copies of one paragraph have the same node, and are combined before the shuffle.
-    shared = keys.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    shared = shared.filter("low <> high").select("band", "low")
-    stars = keys.join(shared, "band").filter("node <> low").selectExpr("node AS a", "low AS b")
+    # One shuffle and no join: the least node of a band is the first of its sorted rows.
+    low = F.first("node").over(Window.partitionBy("band").orderBy("node"))
+    stars = keys.withColumn("low", low).filter("node <> low").selectExpr("node AS a", "low AS b")
     groups = staged(components(stars), "candidates")
     firsts = found.groupBy("node").agg(F.min(F.struct("id", "number")).alias("first"))
     wanted = staged(groups.join(firsts, "node").groupBy(F.col("first.id").alias("id")).agg(
@@ -241,13 +289,13 @@ def near_links(docs: DataFrame, found: DataFrame, shingle: int = SHINGLE,
             rows = []
             for text, own in zip(*lists(batch, "text", "wanted")):
                 _, words, ends = split(text, reach)
+                names = nodes_of(words, ends)
                 for w in own:
                     # Repeated rows of an id may hold another text.
-                    if w["number"] + 1 < len(ends):
-                        part = words[ends[w["number"]]:ends[w["number"] + 1]]
-                        if w["node"] == node_of(part):
-                            rows.append((w["root"], w["node"],
-                                         np.unique(shingles_of(part, shingle)).tobytes()))
+                    n = w["number"]
+                    if n < len(names) and w["node"] == names[n]:
+                        part = shingles_of(words[ends[n]:ends[n + 1]], shingle)
+                        rows.append((w["root"], w["node"], np.unique(part).tobytes()))
             kinds = [pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(list(zip(*rows)) or [[]] * 3, kinds)],
