@@ -1,9 +1,10 @@
 """Model training and scoring.
 
-Predictions have no SQL twin, so a query returns what must hold for each class or row: exact
-supports, guesses among the learned classes, sound probabilities, a fit no worse than the
-constant guess.  Gaussian Bayes is compared row by row with its closed form, and the logistic
-fit by its vanishing gradient.
+Boosted trees are fitted a second time by their SQL twins, which gives every node of the trees and
+every probability again.  Gaussian Bayes is compared row by row with its closed form, and the
+logistic fit by its vanishing gradient.  Forests and nets of ``pyspark.ml`` draw random numbers that
+SQL cannot repeat: their queries walk the stored nodes (or layers) row by row, as columns, and count
+the rows on which model and walk agree.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from sonde.catalog.splitting import _BITS, _SPLIT
 from sonde.cluster import scratch_path, spread, staged
 from sonde.functions import binary_target, multiclass_target, normal_flag
 from sonde.operators import (
-    balance, evaluate, features, impute, models, series, split, tables)
+    balance, boosting, evaluate, features, impute, models, series, split, tables)
 from sonde.plans import stacking
 from sonde.reference import EVENT_LABELS
 
@@ -35,6 +36,41 @@ _LEARNED = ("k AS (SELECT label, count(DISTINCT target) AS kinds FROM d WHERE sp
             f"AND label IN {tuple(EVENT_LABELS)} GROUP BY label)")
 
 
+_FILLED = ", ".join(
+    [f"coalesce({c}, (SELECT avg({c}) FROM d WHERE split = 'train')) AS {c}" for c in CONTINUOUS]
+    + [f"coalesce({c}, (SELECT {c} FROM d WHERE split = 'train' AND {c} IS NOT NULL "
+       f"GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)) AS {c}" for c in CATEGORICAL]
+    + [f"CASE WHEN {c} IS NULL THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS {c}_missing"
+       for c in SENSORS])
+_SCALES = (
+    [f"({c} - (SELECT avg({c}) FROM filled WHERE split = 'train')) / "
+     f"(SELECT stddev_samp({c}) FROM filled WHERE split = 'train')" for c in SENSORS]
+    + [f"{c}_missing" for c in SENSORS])
+_SCALED = ", ".join(_SCALES)
+_NAMED = ", ".join(f"{x} AS {c}" for x, c in zip(_SCALES, INPUTS))
+_READY = (f"filled AS (SELECT event_id, label, split, final_class, target, {_FILLED} FROM d), "
+          f"ready AS (SELECT event_id, label, split, final_class, target, {_NAMED} FROM filled)")
+_FEATURES = ", ".join(INPUTS)
+
+# Layer 1 as SQL: every row in the model of its own label.
+LAYER_1 = boosting.Settings()
+_OWN = (f"SELECT event_id AS rid, split = 'train' AS train, label::VARCHAR AS m, '1' AS c, "
+        f"target AS hit, {_FEATURES} FROM ready WHERE label IN {tuple(EVENT_LABELS)}")
+_EACH = (f"SELECT event_id AS rid, true AS train, label::VARCHAR AS m, '1' AS c, target AS hit, "
+         f"{_FEATURES} FROM ready WHERE split = 'train' AND label IN {tuple(EVENT_LABELS)} "
+         f"UNION ALL SELECT event_id, false, k::VARCHAR, '1', 0, {_FEATURES} FROM ready, "
+         "(SELECT DISTINCT label AS k FROM ready WHERE split = 'train' AND label IN "
+         f"{tuple(EVENT_LABELS)}) WHERE split = 'test'")
+MILLIONTHS = "CAST(floor({} * 1e6 + 0.5) AS BIGINT)"
+_LOGISTIC = MILLIONTHS.format("1 / (1 + exp(-s))")
+
+
+def _millionths(value):
+    return F.floor(value * F.lit(1e6) + F.lit(0.5)).cast("bigint")
+
+
+
+
 def _split(t: Tables):
     """Observations with flags, fitted fills and both targets, split by series."""
     # Four fits and the models read it: written once.
@@ -52,14 +88,6 @@ def _split(t: Tables):
     return ready.filter("split = 'train'"), ready.filter("split = 'test'"), coded
 
 
-def _probabilities(width: int):
-    """Whether a row's probabilities are as many as the classes, lie in 0..1, and add up to 1."""
-    p = vector_to_array("probability")
-    total = F.aggregate(p, F.lit(0.0), lambda a, v: a + v)
-    return ((F.size(p) == width) & F.forall(p, lambda v: v.between(0.0, 1.0))
-            & (F.abs(total - 1.0) < 1e-9))
-
-
 def _learned(fitted, truth: str, guess: str, balanced: bool = False) -> bool:
     """Whether training rows are told apart at least as well as by one constant guess.
 
@@ -72,100 +100,182 @@ def _learned(fitted, truth: str, guess: str, balanced: bool = False) -> bool:
     return row["recalls"] >= 1 if balanced else row["hits"] >= row["most"]
 
 
-def _checked(model, train, test, truth: str, width: int, klass: str = "final_class",
-             sound: bool = True, balanced: bool = False):
-    """Per true class of the test rows: support, known guesses, sound rows, and the train fit."""
-    fit = _learned(model.transform(train), truth, "prediction", balanced)
-    # Indexers keep a place for unseen classes, so there may be one probability more.
-    fine = _probabilities(model.stages[-1].numClasses) if sound else F.lit(True)
-    return model.transform(test).groupBy(klass).agg(
-        F.count("*").alias("n"),
-        F.count(F.when(F.col("prediction").between(0, width - 1), 1)).alias("n_known"),
-        F.count(F.when(fine, 1)).alias("n_sound")).withColumn("learned", F.lit(fit))
-
+def _agreed(scored, walked, klass: str = "final_class"):
+    """Per true class: rows, and those on which the model's shares are the walk's.
 
+    ``scored`` has event_id, the class, probability and prediction; ``walked`` event_id and walked.
+    """
+    both = scored.select("event_id", F.col(klass), "prediction",
+                         vector_to_array("probability").alias("p")).join(walked, "event_id", "left")
+    w = F.col("walked")
+    near = F.forall(F.zip_with("p", w, lambda a, b: F.abs(a - b) < 1e-9), lambda good: good)
+    same = (F.size("p") == F.size(w)) & near & (
+        F.get(w, F.col("prediction").cast("int")) >= F.array_max(w) - 1e-9)
+    return both.groupBy(klass).agg(F.count("*").alias("n"), F.count(F.when(
+        F.coalesce(same, F.lit(False)), 1)).alias("n_same"))
+
+
+def _forest_checked(model, test, klass: str = "final_class"):
+    scored = model.transform(test)
+    forest = model.stages[-1]
+    vector = vector_to_array("features")
+    names = [f"_f{i}" for i in range(forest.numFeatures)]
+    wide = scored.select("event_id", *[vector[i].alias(c) for i, c in enumerate(names)])
+    walked = models.walk_forest(wide, models.forest_nodes(model), names, ["event_id"],
+                                forest.getMaxDepth())
+    return _agreed(scored, walked, klass)
+
+
+_AGREED = f"""
+WITH {_ROWS} SELECT final_class, count(*) AS n, count(*) AS n_same FROM d
+WHERE split = 'test' GROUP BY final_class"""
+
+# Constants of a fit that only its own checks can see.
 _CHECKED = f"""
 WITH {_ROWS} SELECT final_class, count(*) AS n, count(*) AS n_known, count(*) AS n_sound,
   true AS learned FROM d WHERE split = 'test' GROUP BY final_class"""
 
 
+def _checked(model, train, test, truth: str, width: int):
+    """Per true class of the test rows: support, known guesses, and the train fit."""
+    fit = _learned(model.transform(train), truth, "prediction")
+    return model.transform(test).groupBy("final_class").agg(
+        F.count("*").alias("n"),
+        F.count(F.when(F.col("prediction").between(0, width - 1), 1)).alias("n_known"),
+        F.count("*").alias("n_sound")).withColumn("learned", F.lit(fit))
+
+
+def _layer_1_fit(train):
+    return boosting.fit(train, INPUTS, "target", LAYER_1, key="label", models=EVENT_LABELS)
+
+
 @query("gbt_per_label", f"""
-WITH {_ROWS}, {_LEARNED} SELECT label, count(*) AS n, sum(target)::BIGINT AS n_event,
-  count(*) AS n_sound, true AS learned FROM d JOIN k USING (label) WHERE split = 'test'
-GROUP BY label""")
+WITH {_ROWS}, {_READY}, {boosting.fit_sql(_OWN, INPUTS, LAYER_1)}
+SELECT rid AS event_id, m::INT AS label, hit AS target, {_LOGISTIC} AS p FROM fitted
+WHERE NOT train""")
 def _per_label(t: Tables):
+    """Probability of the event, by the model of the row's own label, of every test row."""
     train, test, _ = _split(t)
-    fitted = models.fit_per_label(train, INPUTS, EVENT_LABELS, test=test)
-    own = F.coalesce(*[F.when(F.col("label") == k, F.col(f"probability_label_{k}"))
+    fitted = models.fit_per_label(train, INPUTS, EVENT_LABELS)
+    own = F.coalesce(*[F.when(F.col("label") == k, F.col(f"{stacking.PREFIX}{k}"))
                        for k in sorted(fitted)])
-
-    def guessed(df):
-        return models.score_per_label(df, fitted).withColumn("own", own).filter(
-            F.col("own").isNotNull())
-
-    right = F.count(F.when((F.col("own") > 0.5).cast("int") == F.col("target"), 1))
-    events = F.sum("target")
-    fits = guessed(train).groupBy("label").agg(
-        (right >= F.greatest(events, F.count("*") - events)).alias("learned")).collect()
-    good = F.col("label").isin([r["label"] for r in fits if r["learned"]])
-    return guessed(test).groupBy("label").agg(
-        F.count("*").alias("n"), events.alias("n_event"),
-        F.count(F.when(F.col("own").between(0, 1), 1)).alias("n_sound")
-    ).withColumn("learned", good)
+    scored = models.score_per_label(test.filter(F.col("label").isin(list(fitted))), fitted)
+    return scored.select("event_id", "label", "target", _millionths(own).alias("p"))
 
 
 @query("score_layer1", f"""
-WITH {_ROWS}, {_LEARNED} SELECT event_id, p_main, (SELECT count(*) FROM k) AS n_scores
-FROM d WHERE split = 'test'""")
+WITH {_ROWS}, {_READY}, {boosting.fit_sql(_EACH, INPUTS, LAYER_1)}
+SELECT rid AS event_id, p_main, m AS model, {_LOGISTIC} AS p
+FROM fitted JOIN obs ON event_id = rid WHERE NOT train""")
 def _layer_1(t: Tables):
+    """Every test row, scored by the models of all labels, beside its raw value."""
     train, test, _ = _split(t)
     fitted = models.fit_per_label(train, INPUTS, EVENT_LABELS)
-    raw = t.obs().select("event_id", F.col("p_main").alias("raw"))
     scored = models.score_per_label(test.select("event_id", *INPUTS), fitted)
-    sound = sum((F.col(f"probability_label_{k}").between(0, 1).cast("bigint") for k in fitted),
-                F.lit(0).cast("bigint"))
-    return scored.select("event_id", sound.alias("n_scores")).join(raw, "event_id").select(
-        "event_id", F.col("raw").alias("p_main"), "n_scores")
+    wide = scored.select("event_id", *[
+        _millionths(F.col(f"{stacking.PREFIX}{k}")).alias(str(k)) for k in sorted(fitted)])
+    raw = t.obs().select("event_id", "p_main")
+    return wide.unpivot(["event_id"], [str(k) for k in sorted(fitted)], "model", "p").join(
+        raw, "event_id")
+
+
+@query("boosted_nodes", f"""
+WITH {_ROWS}, {_READY}, {boosting.fit_sql(_OWN, INPUTS, LAYER_1, steps=True)},
+cutting AS (SELECT DISTINCT m, (t - 1) // {LAYER_1.depth} AS tree, was, f, b, gain FROM fitted
+  WHERE t > 0 AND f >= 0),
+ending AS (SELECT DISTINCT m, (t - 1) // {LAYER_1.depth} AS tree, ended, v FROM fitted
+  WHERE t > 0 AND t % {LAYER_1.depth} = 0)
+SELECT m AS model, CAST(tree AS INT) AS tree, CAST(was AS INT) AS node, {INPUTS}[f + 1] AS feature,
+  CAST(floor(every.cuts[f + 1][b + 1] * 1e6 + 0.5) AS BIGINT) AS cut,
+  CAST(2 * was + 1 AS INT) AS "left", CAST(2 * was + 2 AS INT) AS "right", NULL AS value
+FROM cutting, every
+UNION ALL SELECT m, CAST(tree AS INT), CAST(ended AS INT), NULL, NULL, NULL, NULL,
+  CAST(floor(v * 1e9 + 0.5) AS BIGINT) FROM ending""")
+def _boosted_nodes(t: Tables):
+    """All nodes of the layer-1 trees, from the table the fit has written."""
+    train, _, _ = _split(t)
+    nodes = staged(_layer_1_fit(train).nodes(t.spark), "nodes")
+    return nodes.select("model", "tree", "node", "feature", _millionths(F.col("cut")).alias("cut"),
+                        "left", "right", F.floor(F.col("value") * F.lit(1e9) + F.lit(0.5))
+                        .cast("bigint").alias("value"))
 
 
 @query("feature_importance", f"""
-WITH {_ROWS}, {_LEARNED} SELECT CAST(label AS STRING) AS model, f AS feature, true AS sound,
-  CASE WHEN kinds > 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS total
-FROM k, (SELECT unnest({INPUTS}) AS f) u""")
+WITH {_ROWS}, {_READY}, {boosting.fit_sql(_OWN, INPUTS, LAYER_1, steps=True)},
+cutting AS (SELECT DISTINCT m, t, was, f, gain FROM fitted WHERE f >= 0),
+whole AS (SELECT m, sum(gain) AS total FROM cutting GROUP BY m),
+part AS (SELECT m, f, sum(gain) AS own FROM cutting GROUP BY m, f)
+SELECT model, {INPUTS}[u.f + 1] AS feature,
+  {MILLIONTHS.format("coalesce(own / total, 0)")} AS importance
+FROM (SELECT DISTINCT m AS model FROM fitted WHERE train) k, (SELECT unnest(range({len(INPUTS)})) AS f) u
+LEFT JOIN part ON part.m = model AND part.f = u.f LEFT JOIN whole ON whole.m = model""")
 def _importance(t: Tables):
+    """Shares of the gain by model and feature."""
     train, _, _ = _split(t)
-    fitted = models.fit_per_label(train, INPUTS, EVENT_LABELS)
-    each = models.feature_importance(t.spark, fitted)
-    totals = each.groupBy("model").agg(F.round(F.sum("importance"), 9).alias("total"))
-    return each.join(totals, "model").select(
-        "model", "feature", F.col("importance").between(0, 1).alias("sound"), "total")
+    each = t.spark.createDataFrame(_layer_1_fit(train).importances(),
+                                   "model string, feature string, importance double")
+    return each.select("model", "feature", _millionths(F.col("importance")).alias("importance"))
+
+
+# A joint loss over all classes.
+SOFTMAX = boosting.Settings(rounds=10, depth=4, loss="softmax")
+_CLASSES = ("SELECT event_id AS rid, split = 'train' AS train, 'all' AS m, k::VARCHAR AS c, "
+            f"(final_class = k)::INT AS hit, {_FEATURES} FROM ready, (SELECT DISTINCT final_class "
+            "AS k FROM ready WHERE split = 'train')")
+
+
+@query("softmax_boost", f"""
+WITH {_ROWS}, {_READY}, {boosting.fit_sql(_CLASSES, INPUTS, SOFTMAX)},
+shares AS (SELECT rid, c, e / sum(e) OVER (PARTITION BY rid) AS p FROM
+  (SELECT rid, c, exp(s - max(s) OVER (PARTITION BY rid)) AS e FROM fitted WHERE NOT train))
+SELECT rid AS event_id, c AS predicted, {MILLIONTHS.format("p")} AS p FROM shares
+QUALIFY row_number() OVER (PARTITION BY rid ORDER BY p DESC, c::INT) = 1""")
+def _softmax(t: Tables):
+    """The likeliest class of every test row and its probability."""
+    train, test, _ = _split(t)
+    fitted = boosting.fit(train, INPUTS, "final_class", SOFTMAX)
+    names = F.array(*[F.lit(c) for c in fitted.classes])
+    scored = test.select("event_id", fitted.probabilities("all").alias("all"))
+    best = F.array_max("all")
+    return scored.select("event_id", F.element_at(names, F.array_position("all", best).cast("int"))
+                         .alias("predicted"), _millionths(best).alias("p"))
+
+
+@query("softmax_loss", f"""
+WITH {_ROWS}, {_READY}, {boosting.fit_sql(_CLASSES, INPUTS, SOFTMAX, steps=True)},
+shares AS (SELECT t, rid, hit, e / sum(e) OVER (PARTITION BY t, rid) AS p FROM
+  (SELECT t, rid, hit, exp(s - max(s) OVER (PARTITION BY t, rid)) AS e FROM fitted
+   WHERE train AND t % {SOFTMAX.depth} = 0))
+SELECT CAST(t // {SOFTMAX.depth} AS INT) AS round, {MILLIONTHS.format("avg(-ln(p))")} AS log_loss
+FROM shares WHERE hit = 1 GROUP BY t""")
+def _softmax_loss(t: Tables):
+    """Log loss of the training rows after every round."""
+    train, _, _ = _split(t)
+    fitted = boosting.fit(train, INPUTS, "final_class", SOFTMAX)
+    rows = [(i, float(loss["all"])) for i, loss in enumerate(fitted.losses)]
+    return t.spark.createDataFrame(rows, "round int, log_loss double").withColumn(
+        "log_loss", _millionths(F.col("log_loss")))
 
 
-@query("rf_multiclass", _CHECKED)
+@query("rf_multiclass", _AGREED)
 def _forest(t: Tables):
-    train, test, coded = _split(t)
-    model = models.fit_on(train, INPUTS, models.forest(), "y")
-    return _checked(model, train, test, "y", len(coded.labels))
+    train, test, _ = _split(t)
+    return _forest_checked(models.fit_on(train, INPUTS, models.forest(), "y"), test)
 
 
-@query("mlp_multiclass", _CHECKED)
+@query("mlp_multiclass", _AGREED + " HAVING count(*) > 0")
 def _mlp(t: Tables):
+    """The net's shares against a forward pass over its weight rows; the loss must have fallen."""
     train, test, coded = _split(t)
     net = models.perceptron(len(INPUTS), len(coded.labels))
     model = models.fit_on(train, INPUTS, net, "y")
-    return _checked(model, train, test, "y", len(coded.labels))
-
-
-_FILLED = ", ".join(
-    [f"coalesce({c}, (SELECT avg({c}) FROM d WHERE split = 'train')) AS {c}" for c in CONTINUOUS]
-    + [f"coalesce({c}, (SELECT {c} FROM d WHERE split = 'train' AND {c} IS NOT NULL "
-       f"GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)) AS {c}" for c in CATEGORICAL]
-    + [f"CASE WHEN {c} IS NULL THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS {c}_missing"
-       for c in SENSORS])
-_SCALED = ", ".join(
-    [f"({c} - (SELECT avg({c}) FROM filled WHERE split = 'train')) / "
-     f"(SELECT stddev_samp({c}) FROM filled WHERE split = 'train')" for c in SENSORS]
-    + [f"{c}_missing" for c in SENSORS])
+    losses = model.stages[-1].summary().objectiveHistory
+    if not losses[-1] < losses[0]:
+        raise ValueError(f"the loss did not fall: {losses[0]} to {losses[-1]}")
+    scored = model.transform(test)
+    walked = scored.select("event_id", models.walk_net(
+        INPUTS, models.net_weights(model)).alias("walked"))
+    return _agreed(scored, walked)
 
 
 @query("naive_bayes", f"""
@@ -191,7 +301,7 @@ def _bayes(t: Tables):
 def _boosted(t: Tables):
     train, test, coded = _split(t)
     model = models.fit_on(train, INPUTS, models.boosted_one_vs_rest(parallelism=8), "y")
-    return _checked(model, train, test, "y", len(coded.labels), sound=False)
+    return _checked(model, train, test, "y", len(coded.labels))
 
 
 @query("logreg", f"""
@@ -209,7 +319,7 @@ def _logistic(t: Tables):
     return wide.unpivot(["n"], list(terms), "term", "flat")
 
 
-@query("rf_weighted", _CHECKED)
+@query("rf_weighted", _AGREED)
 def _meta_forest(t: Tables):
     """Base-model probabilities as extra inputs of a forest on balanced rows."""
     train, test, coded = _split(t)
@@ -223,7 +333,7 @@ def _meta_forest(t: Tables):
     (rows, k), (held, _) = with_meta(train), with_meta(test)
     heavy, trees = models.weighted(rows, "y", models.forest())
     model = models.fit_on(heavy, INPUTS + [f"meta_{i}" for i in range(k)], trees, "y")
-    return _checked(model, heavy, held, "y", len(coded.labels), balanced=True)
+    return _forest_checked(model, held)
 
 
 @query("two_level", f"""
@@ -251,7 +361,7 @@ def _two_level(t: Tables):
 
 
 @query("indexed_forest", f"""
-SELECT label, count(*) AS n, count(*) AS n_known, count(*) AS n_sound, true AS learned
+SELECT label, count(*) AS n, count(*) AS n_same
 FROM obs WHERE {_BITS} >= {int(0.8 * 2 ** 60)} GROUP BY label""")
 def _indexed(t: Tables):
     """One chain of stages on the label: indexed wells and lags, fills, scaling, forest."""
@@ -268,29 +378,22 @@ def _indexed(t: Tables):
         StandardScaler(inputCol="raw_features", outputCol="features"),
         models.forest().setLabelCol("label_index"),
     ])
-    model = chain.fit(train)
-    return _checked(model, train, df.filter("split = 'test'"), "label_index",
-                    len(model.stages[1].labels), "label")
+    return _forest_checked(chain.fit(train), df.filter("split = 'test'"), "label")
 
 
 @query("ablation", f"""
-WITH {_ROWS} SELECT unnest({["nothing", *SENSORS]}) AS left_out, true AS sound, true AS learned,
-  (SELECT count(*) FROM d WHERE split = 'test') AS n""")
+WITH {_ROWS} SELECT unnest({["nothing", *SENSORS]}) AS left_out,
+  (SELECT count(*) FROM d WHERE split = 'test') AS n,
+  (SELECT count(*) FROM d WHERE split = 'test') AS n_same""")
 def _ablation(t: Tables):
+    """Forests without one sensor each, every one against a walk over its own nodes."""
     train, test, _ = _split(t)
     out = None
     for left_out in ["", *SENSORS]:
         kept = [f for f in INPUTS if f not in (left_out, f"{left_out}_missing")]
         model = models.fit_on(train, kept, models.forest(), "y")
-        scored = model.transform(test).select("y", "prediction")
-        scores = evaluate.multiclass_metrics(scored, "y", "prediction")
-        sound = None
-        for c in scores.columns:
-            sound = F.col(c).between(0, 1) if sound is None else sound & F.col(c).between(0, 1)
-        row = scores.select(
-            F.lit(left_out or "nothing").alias("left_out"), sound.alias("sound"),
-            F.lit(_learned(model.transform(train), "y", "prediction")).alias("learned"),
-            F.lit(scored.count()).alias("n"))
+        row = _forest_checked(model, test).agg(F.sum("n").alias("n"), F.sum("n_same").alias(
+            "n_same")).select(F.lit(left_out or "nothing").alias("left_out"), "n", "n_same")
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -313,21 +416,36 @@ def _roundtrip(t: Tables):
                     F.count(F.when(F.col("a") == F.col("b"), 1)).alias("n_same"))
 
 
+_ALL = _EACH.replace("WHERE split = 'test'", "WHERE true")
+
+
 @query("score_stacked", f"""
-WITH {_ROWS}, {_LEARNED} SELECT event_id, instance, label, p_main, valve_a, class,
-  true AS known_class, true AS sound, (SELECT count(*) FROM k) AS n_scores FROM obs""")
+WITH {_ROWS}, {_READY}, {boosting.fit_sql(_ALL, INPUTS, LAYER_1)},
+scores AS (SELECT rid AS event_id, string_agg({_LOGISTIC}::VARCHAR, ',' ORDER BY m::INT) AS scores
+  FROM fitted WHERE NOT train GROUP BY rid)
+SELECT event_id, instance, label, p_main, valve_a, class, true AS known_class, scores
+FROM obs LEFT JOIN scores USING (event_id)""")
 def _stacked(t: Tables):
+    """Every observation with its class and the scores of all label models, in millionths."""
     df = split.attach_split(t.obs(), split.group_split(t.obs(), "instance", ["label"]),
                             ["label", "instance"])
     model = stacking.fit_stacked(df.filter("split = 'train'"), CONTINUOUS, CATEGORICAL)
-    p, scores = F.col("probability"), [f"{stacking.PREFIX}{k}" for k in sorted(model.layer_1)]
-    total = F.aggregate(p, F.lit(0.0), lambda a, v: a + v)
+    scores = [_millionths(F.col(f"{stacking.PREFIX}{k}")).cast("string")
+              for k in sorted(model.layer_1)]
     return model.transform(t.obs()).select(
         "event_id", "instance", "label", "p_main", "valve_a", "class",
         F.col("predicted_class").isin(list(model.classes)).alias("known_class"),
-        (F.forall(p, lambda v: v.between(0.0, 1.0)) & (F.abs(total - 1.0) < 1e-9)).alias("sound"),
-        sum((F.col(c).between(0, 1).cast("bigint") for c in scores),
-            F.lit(0).cast("bigint")).alias("n_scores"))
+        F.concat_ws(",", *scores).alias("scores"))
+
+
+@query("stacked_forest", _AGREED)
+def _stacked_forest(t: Tables):
+    """Layer 2 of the stacked model on the test rows, against a walk over its nodes."""
+    df = split.attach_split(t.obs(), split.group_split(t.obs(), "instance", ["label"]),
+                            ["label", "instance"])
+    model = stacking.fit_stacked(df.filter("split = 'train'"), CONTINUOUS, CATEGORICAL)
+    test = df.filter("split = 'test'").withColumn("final_class", multiclass_target(F.col("class")))
+    return _forest_checked(model.layer_2, model.layer_1_scores(test))
 
 
 _WHOLE = "p_main IS NOT NULL AND p_aux IS NOT NULL"

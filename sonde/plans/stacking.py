@@ -36,13 +36,17 @@ class StackedModel:
     def inputs(self) -> list[str]:
         return _inputs(self.sensors)
 
+    def layer_1_scores(self, df: DataFrame) -> DataFrame:
+        """The columns of ``df``, the prepared inputs, and the scores of the label models."""
+        ready = _prepare(df, self.sensors, self.fill, self.scaler)
+        return models.score_per_label(ready, self.layer_1, PREFIX)
+
     def transform(self, df: DataFrame) -> DataFrame:
         """Score observations: the input columns plus class, probabilities and layer-1 scores.
 
         Flags, imputation, scaling and all models are columns of one plan over one scan.
         """
-        ready = _prepare(df, self.sensors, self.fill, self.scaler)
-        scored = self.layer_2.transform(models.score_per_label(ready, self.layer_1, PREFIX))
+        scored = self.layer_2.transform(self.layer_1_scores(df))
         names = F.array(*[F.lit(c) for c in self.classes])
         klass = F.try_element_at(names, F.col("prediction").cast("int") + 1)
         return scored.select(
@@ -100,8 +104,9 @@ def fit_stacked(train: DataFrame, continuous: Sequence[str], categorical: Sequen
                 ) -> StackedModel:
     """Fit fills, scaling, the label models and the final model on training rows.
 
-    The columns in use are written to the shared folder once before, and the prepared inputs
-    once after the fills and the scaling are fitted; all later passes read these tables.
+    The columns in use are written to the shared folder once before, the prepared inputs once
+    after the fills and the scaling are fitted, and the scores of layer 1 once before layer 2; all
+    later passes read these tables.  Without a ``layer_1`` the label models are boosted together.
     """
     sensors = [*continuous, *categorical]
     train = staged(train.select(*[col(c) for c in dict.fromkeys([label, klass, *sensors])]), "train")
@@ -116,9 +121,10 @@ def fit_stacked(train: DataFrame, continuous: Sequence[str], categorical: Sequen
         col(label), *inputs, binary_target(col(klass)).alias("target"),
         multiclass_target(col(klass)).alias("final_class")), "inputs")
     first = models.fit_per_label(ready, inputs, labels, layer_1, label, "target", stored=True)
-    scored = models.score_per_label(ready, first, PREFIX)
     indexer = feats.frequency_index(ready, "final_class", "indexed_class")
-    second = models.fit_on(
-        indexer.transform(scored), inputs + [f"{PREFIX}{k}" for k in sorted(first)],
-        layer_2 or models.forest(), "indexed_class")
+    # The forest passes over its rows many times: the scores are written, not computed each time.
+    scored = staged(indexer.transform(models.score_per_label(
+        ready.select("final_class", *inputs), first, PREFIX)), "scored")
+    second = models.fit_on(scored, inputs + [f"{PREFIX}{k}" for k in sorted(first)],
+                           layer_2 or models.forest(), "indexed_class")
     return StackedModel(tuple(sensors), fill, scaler, first, second, tuple(indexer.labels))
