@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sonde.catalog.base import Tables, query
-from sonde.operators import impute, series
+from sonde.cluster import scratch_path
+from sonde.operators import impute, sequences, series
 
 _ORDER = ["ts", "event_id"]
 
@@ -92,6 +93,39 @@ def _sequences(t: Tables):
                        F.round(total, 6).alias("total"))
 
 
+# Length and step of the stored windows, and windows of a batch.
+_STRIDES, _BATCH = [(60, 1), (60, 7), (16, 5), (1, 3)], 256
+
+
+@query("sequence_batches", " UNION ALL ".join(f"""
+SELECT {n} AS length, {step} AS step, idx // {_BATCH} AS batch, CAST(idx % {_BATCH} AS INT) AS place,
+  instance, event_id, class, steps, first_step, last_step, total FROM (
+  SELECT *, row_number() OVER (ORDER BY instance, rn) - 1 AS idx FROM (
+    SELECT instance, event_id, class, row_number() OVER o AS rn, count(*) OVER w AS steps,
+      first_value(coalesce(p_main, 0)) OVER w AS first_step, coalesce(p_main, 0) AS last_step,
+      round(sum(coalesce(p_main, 0)) OVER w, 6) AS total FROM obs
+    WINDOW o AS (PARTITION BY instance ORDER BY ts, event_id), w AS (PARTITION BY instance
+      ORDER BY ts, event_id ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)) r
+  WHERE rn >= {n} AND (rn - {n}) % {step} = 0) q""" for n, step in _STRIDES))
+def _batches(t: Tables):
+    """Windows of several lengths and steps, written as blocks and read as numbered batches."""
+    df = t.obs().select("event_id", "ts", "instance", "class",
+                        F.coalesce("p_main", F.lit(0.0)).alias("p_main"), "valve_a")
+    df, out = df.fillna({"valve_a": 0.0}), None
+    for n, step in _STRIDES:
+        path = scratch_path(t.spark, "batches")
+        sequences.write_batches(df, path, ["p_main", "valve_a"], "class", ["instance"], _ORDER, n,
+                                step, _BATCH, rows_per_block=100)
+        total = F.aggregate("sequence", F.lit(0.0), lambda a, s: a + s[0])
+        part = sequences.read_batches(t.spark, path).select(
+            F.lit(n).alias("length"), F.lit(step).alias("step"), "batch", "place", "instance",
+            "event_id", "class", F.size("sequence").cast("bigint").alias("steps"),
+            F.col("sequence")[0][0].alias("first_step"),
+            F.element_at("sequence", -1)[0].alias("last_step"), F.round(total, 6).alias("total"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("impute_group_mean", """
 SELECT event_id, well, class, round(coalesce(p_main, avg(p_main) OVER w), 6) AS p_main,
   round(coalesce(p_aux, avg(p_aux) OVER w), 6) AS p_aux
