@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sonde.catalog.base import OBS_COLUMNS, Tables, query
-from sonde.cluster import scratch_path, staged
+from sonde.cluster import checkpointed, scratch_path, staged
 from sonde.functions import (binary_target, col, composite_id, lookup, normal_flag)
-from sonde.operators import profile, tables
+from sonde.operators import manifest, profile, tables
 from sonde.reference import EVENTS, SOURCES
 from sonde.sources import (
     literal_table, load_instances, read_partitions, scan_csv, scan_parquet, write_csv,
@@ -67,6 +67,58 @@ def _partial(t: Tables):
     return stored.groupBy("label").agg(F.round(F.sum("p_main"), 4).alias("total"))
 
 
+# A later state of the source: one label changed, one lost a row, one is gone and one is new.
+_LATER = ["event_id", "instance", "CASE WHEN label = 3 AND event_id % 50 = 0 THEN instance + 1 "
+          "ELSE instance END AS seen", "well",
+          "CAST(CASE WHEN label = 8 THEN 18 ELSE label END AS INT) AS label"]
+_FIRST_OF_5 = "event_id = (SELECT min(event_id) FROM obs WHERE label = 5)"
+
+
+def _before(t: Tables):
+    return t.obs().select("event_id", "instance", F.col("instance").alias("seen"), "well", "label")
+
+
+def _later(t: Tables):
+    first = t.obs().filter("label = 5").agg(F.min("event_id")).scalar()
+    return t.obs().filter(~F.coalesce(F.col("event_id") == first, F.lit(False))).selectExpr(*_LATER)
+
+
+def _files(t: Tables, path: str):
+    named = t.spark.read.parquet(path).select("label", F.input_file_name().alias("file")).distinct()
+    return named.groupBy("label").agg(F.sort_array(F.collect_list("file")).alias("files"))
+
+
+@query("stale_partitions", """
+SELECT DISTINCT CAST(label AS VARCHAR) AS label, CASE label WHEN 8 THEN 'gone' ELSE 'changed' END AS reason
+FROM obs WHERE label = 8 OR (label = 3 AND event_id % 50 = 0) OR label = 5
+UNION SELECT '18', 'new' FROM obs WHERE label = 8""")
+def _stale(t: Tables):
+    """Labels whose rows are not those that their folder was written from."""
+    path = scratch_path(t.spark, "recorded")
+    manifest.write_recorded(_before(t), path, ["label"])
+    return manifest.stale_partitions(_later(t), path, ["label"])
+
+
+@query("rework_stale", f"""
+WITH later AS (SELECT {", ".join(_LATER)}, label AS old FROM obs WHERE NOT {_FIRST_OF_5})
+SELECT label, count(*) AS n, sum(seen)::BIGINT AS seen, label IN (5, 18) OR label IN
+  (SELECT label FROM obs WHERE label = 3 AND event_id % 50 = 0) AS written
+FROM later GROUP BY label
+UNION ALL SELECT 8, count(*), sum(instance)::BIGINT, false FROM obs WHERE label = 8 HAVING count(*) > 0""")
+def _rework(t: Tables):
+    """After the rework the folders hold the later rows, and the others still their old files."""
+    path = scratch_path(t.spark, "recorded")
+    manifest.write_recorded(_before(t), path, ["label"])
+    old = checkpointed(_files(t, path))
+    manifest.rework_stale(_later(t), path, ["label"])
+    new = _files(t, path).withColumnRenamed("files", "now")
+    written = lookup(new, old, ["label"]).select(
+        "label", (~F.col("files").eqNullSafe(F.col("now"))).alias("written"))
+    held = t.spark.read.parquet(path).groupBy("label").agg(
+        F.count("*").alias("n"), F.sum("seen").alias("seen"))
+    return held.join(written, "label").select("label", "n", "seen", "written")
+
+
 @query("load_instances", """
 WITH listed AS (
   SELECT data_type, label, well,
