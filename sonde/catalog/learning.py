@@ -416,12 +416,14 @@ def _roundtrip(t: Tables):
                     F.count(F.when(F.col("a") == F.col("b"), 1)).alias("n_same"))
 
 
-_ALL = _EACH.replace("WHERE split = 'test'", "WHERE true")
+# All rows to score; their numbers must not be those of the training rows.
+_ALL = _EACH.replace("WHERE split = 'test'", "WHERE true").replace(
+    "SELECT event_id, false", "SELECT -1 - event_id, false")
 
 
 @query("score_stacked", f"""
 WITH {_ROWS}, {_READY}, {boosting.fit_sql(_ALL, INPUTS, LAYER_1)},
-scores AS (SELECT rid AS event_id, string_agg({_LOGISTIC}::VARCHAR, ',' ORDER BY m::INT) AS scores
+scores AS (SELECT -1 - rid AS event_id, string_agg({_LOGISTIC}::VARCHAR, ',' ORDER BY m::INT) AS scores
   FROM fitted WHERE NOT train GROUP BY rid)
 SELECT event_id, instance, label, p_main, valve_a, class, true AS known_class, scores
 FROM obs LEFT JOIN scores USING (event_id)""")
