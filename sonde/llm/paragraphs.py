@@ -24,6 +24,9 @@ SHINGLE, SIMILARITY = 5, 0.8
 # paragraphs have more words than this (shorter texts excepted), and twice as many on average.
 REACH = 7
 
+# Words a repeated passage has at least; two paragraphs side by side always have as many.
+PASSAGE = 15
+
 # Wanted chance that a pair at the threshold collides, and hashes of a band.
 RECALL, ROWS = 0.995, 2
 
@@ -193,53 +196,32 @@ def occurrences(docs: DataFrame, bands: int, shingle: int = SHINGLE, reach: int
 def _similar(nodes: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
     """Links that span the exact components of the sets at the Jaccard similarity.
 
-    A pivot is compared with all sets, through an inverted index.  1 - Jaccard is a metric, so two
-    sets of different pivots are compared only where the distances to the pivots leave it open.
+    Every set is compared, through an inverted index of the shingles, with those that share some.
     """
-    n, far = len(sets), 1 - similarity + 1e-12
+    n, least = len(sets), similarity - 1e-12
     size = np.array([len(s) for s in sets])
     flat = np.concatenate(sets)
     owner = np.repeat(np.arange(n), size)
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
-
-    def distance(i: int) -> np.ndarray:
-        lo, hi = np.searchsorted(flat, sets[i], "left"), np.searchsorted(flat, sets[i], "right")
-        hits = np.concatenate([owner[a:b] for a, b in zip(lo, hi)])
-        shared = np.bincount(hits, minlength=n)
-        return 1 - shared / (size + size[i] - shared)
-
+    edge = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1], [True]]))
+    # Shingles of one set only decide nothing; the others are numbered.
+    number = np.empty(len(flat), np.int64)
+    number[order] = np.repeat(np.arange(len(edge) - 1), np.diff(edge))
+    starts = np.concatenate([[0], np.cumsum(size)])
     root, links = np.arange(n), []
-
-    def join(a: int, b: int) -> None:
-        links.append((int(nodes[a]), int(nodes[b])))
-        root[root == root[b]] = root[a]
-
-    pivot = np.full(n, -1)
-    rows: dict[int, np.ndarray] = {}
     for i in range(n):
-        if pivot[i] >= 0:
+        own = number[starts[i]:starts[i + 1]]
+        own = own[edge[own + 1] - edge[own] > 1]
+        if len(own) == 0:
             continue
-        rows[i] = row = distance(i)
-        for j in np.flatnonzero(row <= far):
-            if root[i] != root[j]:
-                join(i, int(j))
-            if pivot[j] < 0:
-                pivot[j] = i
-    own = np.array([rows[p][j] for j, p in enumerate(pivot)])
-    for p, row in rows.items():
-        for q in rows:
-            # x with pivot p, y with pivot q: close only if d(x, q) <= far + d(y, q).
-            if q <= p or root[p] == root[q] or row[q] > 3 * far:
-                continue
-            for x in np.flatnonzero((pivot == p) & (rows[q] <= 2 * far)):
-                if root[p] == root[q]:
-                    break
-                near = np.flatnonzero((pivot == q) & (own >= rows[q][x] - far))
-                if len(near):
-                    close = near[distance(int(x))[near] <= far]
-                    if len(close):
-                        join(int(x), int(close[0]))
+        hits = np.concatenate([owner[edge[k]:edge[k + 1]] for k in own.tolist()])
+        shared = np.bincount(hits, minlength=n)
+        near = np.flatnonzero(shared >= least * (size + size[i] - shared))
+        for other in np.unique(root[near]):
+            if other != root[i]:
+                links.append((int(nodes[i]), int(nodes[near[root[near] == other][0]])))
+                root[root == other] = root[i]
     return links
 
 
@@ -320,10 +302,13 @@ def repeated(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILA
 
     Paragraphs are linked when their lower-cased words are equal or the Jaccard similarity of their
     word shingles reaches the threshold; of each component the first paragraph by (doc_id, number)
-    stays.  All words are judged; a text of few words is one paragraph, and so is a long run of one
-    word.  Null or empty texts have no paragraphs; a null doc_id comes first; in repeated rows of
+    stays.  All words are judged, whatever line or sentence they stand in; a long run of one word is
+    one paragraph.  A repeat of fewer than PASSAGE words, with no repeat beside it, is a common phrase
+    or line and no passage: it stays.  Null or empty texts have no paragraphs; a null doc_id comes first; in repeated rows of
     one doc_id each paragraph counts once.
     """
+    if 2 * (reach + 1) < PASSAGE:
+        raise ValueError("two paragraphs side by side must have the words of a passage")
     found = staged(occurrences(docs, bands_for(similarity, recall), shingle, reach), "paragraphs")
     links = near_links(docs, found, shingle, similarity, reach)
     roots = components(links)
@@ -334,8 +319,13 @@ def repeated(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILA
     nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = nodes.groupBy("root").agg(F.min("first").alias("kept"), F.sum("n").alias("total"))
     judged = (nodes.join(kept.filter("total > 1"), "root").select("node", "kept"))
-    gone = rows.join(judged, "node").filter(
-        (F.col("id") != F.col("kept.id")) | (F.col("number") != F.col("kept.number")))
+    gone = staged(rows.join(judged, "node").filter(
+        (F.col("id") != F.col("kept.id")) | (F.col("number") != F.col("kept.number"))), "gone")
+    # A paragraph beside another one to remove is part of a longer passage.
+    beside = gone.select("id", F.explode(F.array(F.col("number") - 1, F.col("number") + 1)).alias(
+        "number")).distinct().withColumn("more", F.lit(True))
+    gone = gone.join(beside, ["id", "number"], "left").filter(
+        (F.col("words") >= PASSAGE) | F.col("more"))
     return gone.select(
         real_id().alias("doc_id"), F.col("number").alias("paragraph"),
         F.col("begin").alias("start"), F.col("stop").alias("end"), F.col("words").alias("n_words"),
