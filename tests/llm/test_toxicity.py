@@ -63,7 +63,7 @@ def test_label_model_finds_accuracies_and_correlations(spark):
     truth, out = planted()
     texts = ["".join(map(str, row)) for row in out]
     patterns = spark.createDataFrame([(t, 1) for t in texts], "votes string, n long")
-    model = tox.fit_labels(patterns, [tox.TOXIC] * 4, rounds=25)
+    model = tox.fit_labels(patterns, [tox.TOXIC] * 4, rounds=12)
     assert model.prior == pytest.approx(truth.mean(), abs=0.05)
     real = [(out[:, i][out[:, i] > 0] - 1 == truth[out[:, i] > 0]).mean() for i in range(5)]
     assert model.accuracies() == pytest.approx(real, abs=0.05)
@@ -74,7 +74,7 @@ def test_label_model_finds_accuracies_and_correlations(spark):
     assert ((guess > 0.5) == truth).mean() > best - 0.02
     # Grouped patterns are the same evidence as single rows.
     grouped = patterns.groupBy("votes").agg(F.sum("n").alias("n")).repartition(3)
-    again = tox.fit_labels(grouped, [tox.TOXIC] * 4, rounds=25)
+    again = tox.fit_labels(grouped, [tox.TOXIC] * 4, rounds=12)
     assert again.posterior(out) == pytest.approx(guess, abs=1e-6)
 
 
