@@ -193,10 +193,12 @@ def occurrences(docs: DataFrame, bands: int, shingle: int = SHINGLE, reach: int
         run, "id long, number int, begin long, stop long, words int, node long, bands array<long>")
 
 
-def _similar(nodes: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+def _similar(nodes: np.ndarray, sets: list[np.ndarray], similarity: float, asked=None
+             ) -> list[tuple[int, int]]:
     """Links that span the exact components of the sets at the Jaccard similarity.
 
-    Every set is compared, through an inverted index of the shingles, with those that share some.
+    Every set (or every one ``asked``) is compared, through an inverted index of the shingles, with
+    those that share some.
     """
     n, least = len(sets), similarity - 1e-12
     size = np.array([len(s) for s in sets])
@@ -210,7 +212,7 @@ def _similar(nodes: np.ndarray, sets: list[np.ndarray], similarity: float) -> li
     number[order] = np.repeat(np.arange(len(edge) - 1), np.diff(edge))
     starts = np.concatenate([[0], np.cumsum(size)])
     root, links = np.arange(n), []
-    for i in range(n):
+    for i in range(n) if asked is None else asked:
         own = number[starts[i]:starts[i + 1]]
         own = own[edge[own + 1] - edge[own] > 1]
         if len(own) == 0:
@@ -239,7 +241,9 @@ def _verified(groups: DataFrame, similarity: float) -> DataFrame:
                     found = ([(int(names[0]), int(names[1]))]
                              if shared >= (similarity - 1e-12) * whole else [])
                 else:
-                    found = _similar(names, sets, similarity)
+                    # Of two blocks one is asked about the other; each by itself is a group too.
+                    first = np.array([m["first"].as_py() for m in members])
+                    found = _similar(names, sets, similarity, np.flatnonzero(first).tolist())
                 a += [x for x, _ in found]
                 b += [y for _, y in found]
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
@@ -291,8 +295,11 @@ def near_links(docs: DataFrame, found: DataFrame, shingle: int = SHINGLE,
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))))
     members = dealt.groupBy("root", F.least("own", "other").alias("lo"),
                             F.greatest("own", "other").alias("hi")).agg(
-        F.collect_list(F.struct("node", "shingles")).alias("members"))
-    return _verified(members.filter(F.size("members") > 1), similarity)
+        F.collect_list(F.struct("node", "shingles", (F.col("own") <= F.col("other")).alias("first")))
+        .alias("members"))
+    # Groups are small in bytes and long in work: they are dealt over many tasks, not gathered.
+    tasks = docs.sparkSession.sparkContext.defaultParallelism * 8
+    return _verified(members.filter(F.size("members") > 1).repartition(tasks), similarity)
 
 
 def repeated(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY,
