@@ -159,3 +159,27 @@ def test_walks_agree_and_notice_shuffled_predictions(spark, points):
         assert sum(r["n"] for r in good) == 240 and all(r["n"] == r["n_same"] for r in good)
         wrong = learning._agreed(shuffled(scored, "probability"), walked).collect()
         assert sum(r["n_same"] for r in wrong) < 120
+
+
+def test_walk_of_a_forest_copies_no_row_per_tree(spark, points):
+    """Rows without a key, with equal keys, and without a value; no join and no copy per tree."""
+    _, _, _, df = points
+    model = models.fit_on(df, ["a", "b", "c"], models.forest(5, 4), "y")
+    odd = spark.createDataFrame([(1, 0.5, None, 1.0), (1, 0.5, None, 1.0), (None, 0.1, 0.2, 0.3),
+                                 (2, -3.0, 0.0, float("nan"))], "id int, a double, b double, c double")
+    walked = models.walk_forest(odd, models.forest_nodes(model), ["a", "b", "c"], ["id"], 4)
+    plan = walked._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Generate" not in plan
+    got = {r["id"]: r["walked"] for r in walked.collect()}
+    table, want = models.forest_nodes(model).collect(), {}
+    at = {(r["tree"], r["node"]): r for r in table}
+    for key, *x in odd.collect():
+        ends = []
+        for tree in range(5):
+            r = at[tree, 0]
+            while r["shares"] is None:
+                v = x[r["feature"]]
+                r = at[tree, r["left"] if v is not None and v <= r["cut"] else r["right"]]
+            ends.append(r["shares"])
+        want[key] = np.mean(ends, 0)
+    assert got.keys() == want.keys() and all(np.allclose(got[k], want[k]) for k in want)
