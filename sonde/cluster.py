@@ -49,14 +49,15 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, rows_per_task: int = 10_000) -> DataFrame:
+def spread(df: DataFrame, rows_per_task: int = 10_000, most: int = 500_000) -> DataFrame:
     """Use all cores for a stored table that its scan reads in too few tasks.
 
-    Only a table of fewer rows than ``rows_per_task`` per core is dealt anew; a large one keeps
-    the partitions of its scan, which the size of its files determines.
+    A table of fewer rows than ``rows_per_task`` per core gets fewer tasks.  A large one gets so many
+    that none has over ``most`` rows, as fits keep several hundred bytes a row; it keeps the
+    partitions of its scan where these are enough.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    want = min(cores, -(-df.count() // rows_per_task))
+    cores, n = df.sparkSession.sparkContext.defaultParallelism, df.count()
+    want = max(min(cores, -(-n // rows_per_task)), -(-n // most))
     return df if want <= df.rdd.getNumPartitions() else df.repartition(want)
 
 

@@ -58,6 +58,10 @@ def test_small_tables_are_spread_and_large_ones_kept(spark):
     assert spread(spark.range(500_000, numPartitions=20)).rdd.getNumPartitions() == 20
 
 
+def test_tasks_of_large_tables_are_bounded(spark):
+    assert spread(spark.range(6_000_000, numPartitions=8)).rdd.getNumPartitions() == 12
+
+
 def test_recordings_of_several_files_have_one_number(spark):
     root = scratch_path(spark, "recordings")
     for name, n in (("a", 4), ("b", 3)):
