@@ -183,3 +183,23 @@ def test_walk_of_a_forest_copies_no_row_per_tree(spark, points):
             ends.append(r["shares"])
         want[key] = np.mean(ends, 0)
     assert got.keys() == want.keys() and all(np.allclose(got[k], want[k]) for k in want)
+
+
+def test_gradients_are_made_once_a_round_in_bounded_blocks(spark):
+    """Sums over several blocks of one task, against sums over all rows."""
+    rows = spark.range(140_000, numPartitions=1).selectExpr(
+        "0 AS m", "int(id % 3 = 0) AS y", "tinyint(id % 5) AS b0", "tinyint(id % 7) AS b1")
+    packed = boosting._packed(rows, 2, 1)
+    sizes = [r[0] for r in packed.selectExpr("length(m) DIV 4").collect()]
+    assert sum(sizes) == 140_000 and max(sizes) <= boosting.BLOCK < 140_000
+    settings = boosting.Settings(depth=1, bins=8)
+    none = boosting._Round.of(np.full((1, 3), -1), np.zeros((1, 3), int), np.zeros((1, 3)), 1)
+    made = boosting._advanced(packed, None, 1, 1, 2, settings)
+    sums, lost = boosting._histogram(made, none, 1, 2, settings, 0, range(1), True)
+    i = np.arange(140_000)
+    g = np.where(i % 3 == 0, -0.5, 0.5) * boosting.UNIT
+    for f, bins in enumerate((i % 5, i % 7)):
+        assert (sums[0, f, :, 0] == np.bincount(bins, g, 8)).all()
+        assert (sums[0, f, :, 1] == np.bincount(bins, minlength=8) * (boosting.UNIT / 4)).all()
+        assert (sums[0, f, :, 2] == np.bincount(bins, minlength=8)).all()
+    assert lost[0] == pytest.approx(140_000 * np.log(2))
