@@ -7,14 +7,14 @@ lines and sentences surround it, and every word of a text belongs to one paragra
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sonde.cluster import small_side
 from sonde.llm.components import components
 from sonde.llm.frames import keyed, lists, real_id, slices, staged
 
@@ -33,10 +33,12 @@ RECALL, ROWS = 0.995, 2
 # Paragraphs a task remembers, so that it passes on the keys of each only once.
 MET = 500_000
 
-# Members of a candidate component that one task holds; larger ones are compared block by block.
-BLOCK = 1024
+# Candidates that are compared in one group.  A larger component is dealt by rare shingles first; what
+# is still larger is compared block by block.
+BLOCK = 4096
 
-_WORD = re.compile(r"\S+")
+# White space by code point; no character above these is white space.
+_WHITE = np.array([chr(c).isspace() for c in range(0x3001)] + [False])
 
 
 def bands_for(similarity: float = SIMILARITY, recall: float = RECALL, rows: int = ROWS) -> int:
@@ -66,6 +68,21 @@ def word_hashes(words: list[str]) -> np.ndarray:
     return np.array([digest(w.encode("utf-8", "replace")) for w in words], np.uint64)
 
 
+def word_spans(text: str) -> np.ndarray:
+    """Start and end of every word, one row each (code points, end exclusive)."""
+    points = (np.frombuffer(text.encode(), np.uint8) if text.isascii() else np.minimum(
+        np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), len(_WHITE) - 1))
+    inside = np.zeros(len(points) + 2, bool)
+    inside[1:-1] = ~_WHITE[points]
+    return np.flatnonzero(inside[1:] != inside[:-1]).reshape(-1, 2)
+
+
+def words_of(text: str) -> np.ndarray:
+    """Hashes of the lower-cased words."""
+    # Lower-casing may change a word's length, so words are cut out first.
+    return word_hashes(text.lower().split() if text.isascii() else [w.lower() for w in text.split()])
+
+
 def cuts(words: np.ndarray, reach: int = REACH) -> np.ndarray:
     """Numbers of words before each cut, 0 and the number of all words included.
 
@@ -85,11 +102,8 @@ def cuts(words: np.ndarray, reach: int = REACH) -> np.ndarray:
 def split(text: str | None, reach: int = REACH):
     """Word places (code points, end exclusive), the words' hashes, and the cuts between them."""
     text = text or ""
-    found = [m.span() for m in _WORD.finditer(text)]
-    # Lower-casing may change a word's length, so words are cut out first.
-    words = word_hashes(text.lower().split() if text.isascii()
-                        else [text[a:b].lower() for a, b in found])
-    return found, words, cuts(words, reach)
+    words = words_of(text)
+    return word_spans(text), words, cuts(words, reach)
 
 
 def shingles_of(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -163,8 +177,8 @@ def occurrences(docs: DataFrame, bands: int, shingle: int = SHINGLE, reach: int
                 if n == 0:
                     continue
                 for name, values in zip(columns, (
-                        np.full(n, i), np.arange(n), [found[k][0] for k in ends[:-1]],
-                        [found[k - 1][1] for k in ends[1:]], np.diff(ends), nodes_of(words, ends))):
+                        np.full(n, i), np.arange(n), found[ends[:-1], 0], found[ends[1:] - 1, 1],
+                        np.diff(ends), nodes_of(words, ends))):
                     columns[name].append(np.asarray(values, np.int64))
                 for out, part in zip((sets, counts), shingled(words, ends, shingle)):
                     out.append(part)
@@ -197,8 +211,9 @@ def _similar(nodes: np.ndarray, sets: list[np.ndarray], similarity: float, asked
              ) -> list[tuple[int, int]]:
     """Links that span the exact components of the sets at the Jaccard similarity.
 
-    Every set (or every one ``asked``) is compared, through an inverted index of the shingles, with
-    those that share some.
+    A set (or one of those ``asked``) is compared, through an inverted index of the shingles, with
+    those that share some.  Without ``asked``, the sets of the largest component so far are not
+    asked: each set outside is, and those inside hang together already.
     """
     n, least = len(sets), similarity - 1e-12
     size = np.array([len(s) for s in sets])
@@ -211,8 +226,17 @@ def _similar(nodes: np.ndarray, sets: list[np.ndarray], similarity: float, asked
     number = np.empty(len(flat), np.int64)
     number[order] = np.repeat(np.arange(len(edge) - 1), np.diff(edge))
     starts = np.concatenate([[0], np.cumsum(size)])
-    root, links = np.arange(n), []
-    for i in range(n) if asked is None else asked:
+    root, weight, links = np.arange(n), np.ones(n, np.int64), []
+    left = np.full(n, asked is None)
+    if asked is not None:
+        left[asked] = True
+    while True:
+        largest = int(weight.argmax())
+        wanted = left & (root != largest) if asked is None else left
+        i = int(wanted.argmax())
+        if not wanted[i] or weight[largest] == n:
+            return links
+        left[i] = False
         own = number[starts[i]:starts[i + 1]]
         own = own[edge[own + 1] - edge[own] > 1]
         if len(own) == 0:
@@ -220,86 +244,142 @@ def _similar(nodes: np.ndarray, sets: list[np.ndarray], similarity: float, asked
         hits = np.concatenate([owner[edge[k]:edge[k + 1]] for k in own.tolist()])
         shared = np.bincount(hits, minlength=n)
         near = np.flatnonzero(shared >= least * (size + size[i] - shared))
-        for other in np.unique(root[near]):
-            if other != root[i]:
-                links.append((int(nodes[i]), int(nodes[near[root[near] == other][0]])))
-                root[root == other] = root[i]
-    return links
+        near = near[root[near] != root[i]]
+        for other, at in zip(*np.unique(root[near], return_index=True)):
+            links.append((int(nodes[i]), int(nodes[near[at]])))
+            weight[root[i]] += weight[other]
+            weight[other] = 0
+            root[root == other] = root[i]
+
+
+def _similar_pairs(flat: np.ndarray, size: np.ndarray, similarity: float) -> np.ndarray:
+    """Which of the pairs of sets, one behind the other in ``flat``, reach the similarity."""
+    pair = np.repeat(np.arange(len(size)) // 2, size)
+    order = np.lexsort((flat, pair))
+    flat, pair = flat[order], pair[order]
+    both = pair[1:][(flat[1:] == flat[:-1]) & (pair[1:] == pair[:-1])]
+    shared = np.bincount(both, minlength=len(size) // 2)
+    return shared >= (similarity - 1e-12) * (size[::2] + size[1::2] - shared)
 
 
 def _verified(groups: DataFrame, similarity: float) -> DataFrame:
-    """Links of every group in an array column ``members`` of (node, sets)."""
+    """Links of every group in an array column ``members`` of (node, shingles, first)."""
     def run(batches):
         for batch in slices(batches, 256):
-            a, b = [], []
-            for members in batch.column(0):
-                names = np.array([m["node"].as_py() for m in members], np.int64)
-                sets = [np.frombuffer(m["shingles"].as_py(), np.uint64) for m in members]
-                if len(sets) == 2:
-                    shared = len(np.intersect1d(*sets, assume_unique=True))
-                    whole = len(sets[0]) + len(sets[1]) - shared
-                    found = ([(int(names[0]), int(names[1]))]
-                             if shared >= (similarity - 1e-12) * whole else [])
-                else:
-                    # Of two blocks one is asked about the other; each by itself is a group too.
-                    first = np.array([m["first"].as_py() for m in members])
-                    found = _similar(names, sets, similarity, np.flatnonzero(first).tolist())
-                a += [x for x, _ in found]
-                b += [y for _, y in found]
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
-                                             ["a", "b"])
+            counts = pc.list_value_length(batch.column(0)).to_numpy().astype(np.int64)
+            members = batch.column(0).flatten()
+            nodes = members.field("node").to_numpy()
+            first = members.field("first").to_numpy(zero_copy_only=False)
+            size = pc.list_value_length(members.field("shingles")).to_numpy().astype(np.int64)
+            flat = members.field("shingles").flatten().to_numpy().view(np.uint64)
+            ends = np.cumsum(size)
+            two = np.repeat(counts == 2, counts)
+            good = _similar_pairs(flat[np.repeat(two, size)], size[two], similarity)
+            a, b = [nodes[two][::2][good]], [nodes[two][1::2][good]]
+            for hi, n in zip(np.cumsum(counts).tolist(), counts.tolist()):
+                if n == 2:
+                    continue
+                lo = hi - n
+                sets = np.split(flat[ends[lo] - size[lo]:ends[hi - 1]],
+                                np.cumsum(size[lo:hi - 1]))
+                # Of two blocks one is asked about the other; each by itself is a group too.
+                asked = None if first[lo:hi].all() else np.flatnonzero(first[lo:hi])
+                found = np.array(_similar(nodes[lo:hi], sets, similarity, asked), np.int64)
+                a.append(found.reshape(-1, 2)[:, 0])
+                b.append(found.reshape(-1, 2)[:, 1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(a), pa.int64()), pa.array(np.concatenate(b), pa.int64())],
+                ["a", "b"])
     return groups.select("members").mapInArrow(run, "a long, b long")
 
 
+def rare_shingles(sets: DataFrame, similarity: float) -> DataFrame:
+    """(root, token, node, shingles): each set beside the rarest of its shingles.
+
+    Of n shingles a similar set has ceil(similarity x n) at least, so two similar sets share one of
+    those that are left of each when all but one of so many, the commonest, are taken away.
+    """
+    each = sets.select("root", "node", F.explode("shingles").alias("token"))
+    common = each.groupBy("token").agg(F.count("*").alias("sets"))
+    few = F.size("ranked") - F.ceil(F.size("ranked") * F.lit(similarity) - F.lit(1e-6)).cast("int") + 1
+    ranked = each.join(common, "token").groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("sets", "token"))).alias("ranked"))
+    rare = ranked.select("node", F.explode(F.slice("ranked", 1, few)["token"]).alias("token"))
+    return sets.join(rare, "node").select("root", "token", "node", "shingles")
+
+
+def candidate_groups(sets: DataFrame, similarity: float, block: int = BLOCK) -> DataFrame:
+    """An array column ``members`` of (node, shingles, first): all pairs of one root that may be
+    similar meet in one of the groups.
+
+    A root of up to ``block`` sets is one group.  Those of a larger root meet by their rare
+    shingles; more than ``block`` sets of one such shingle are dealt by pairs of blocks.
+    """
+    none, key = F.lit(0).cast("long"), ["root", "token"]
+
+    def larger(rows, *by):
+        return small_side(rows.groupBy(*by).agg(F.count("*").alias("n")).filter(F.col("n") > block))
+
+    def grouped(rows, own, other):
+        return rows.select(
+            *key, F.least(own, other).alias("lo"), F.greatest(own, other).alias("hi"),
+            F.struct("node", "shingles", (own <= other).alias("first")).alias("member"))
+
+    roots = larger(sets, "root")
+    small = sets.join(roots, "root", "left_anti").withColumn("token", none)
+    rare = staged(rare_shingles(sets.join(roots, "root", "left_semi"), similarity), "rare")
+    hot = larger(rare, *key)
+    blocks = F.ceil(F.col("n") / F.lit(block)).cast("long")
+    dealt = (rare.join(hot, key).withColumn("own", F.pmod(F.xxhash64("node"), blocks))
+             .withColumn("other", F.explode(F.sequence(none, blocks - 1))))
+    rows = (grouped(small, none, none).union(grouped(rare.join(hot, key, "left_anti"), none, none))
+            .union(grouped(dealt, F.col("own"), F.col("other"))))
+    return rows.groupBy(*key, "lo", "hi").agg(F.collect_list("member").alias("members")).filter(
+        F.size("members") > 1)
+
+
 def near_links(docs: DataFrame, found: DataFrame, shingle: int = SHINGLE,
                similarity: float = SIMILARITY, reach: int = REACH, block: int = BLOCK
                ) -> DataFrame:
     """Links (a, b) between nodes at the similarity or more, enough to span their components.
 
-    Nodes that share a band key are candidates.  Candidates that hang together are brought
-    together once, with their shingles, and compared exactly; a component of more than ``block``
-    candidates is compared by pairs of blocks, so no task holds more than two blocks.
+    Nodes that share a band key are candidates.  Candidates that hang together are compared exactly
+    (``candidate_groups``); no task holds more than two blocks of a group.
     """
     keys = found.select("node", F.explode("bands").alias("band"))
     # One shuffle and no join: the least node of a band is the first of its sorted rows.
     low = F.first("node").over(Window.partitionBy("band").orderBy("node"))
     stars = keys.withColumn("low", low).filter("node <> low").selectExpr("node AS a", "low AS b")
     groups = staged(components(stars), "candidates")
-    firsts = found.groupBy("node").agg(F.min(F.struct("id", "number")).alias("first"))
-    wanted = staged(groups.join(firsts, "node").groupBy(F.col("first.id").alias("id")).agg(
-        F.collect_list(F.struct(F.col("first.number").alias("number"), "node", "root"))
-        .alias("wanted")), "wanted")
+    # Of each candidate one paragraph is read again, and no other part of its text.
+    wanted = (found.select("node", "id", "number", "begin", "stop").join(groups, "node")
+              .groupBy("node", "root")
+              .agg(F.min(F.struct("id", "number", "begin", "stop")).alias("first")))
+    wanted = staged(wanted.groupBy(F.col("first.id").alias("id")).agg(F.collect_list(F.struct(
+        "first.begin", "first.stop", "node", "root")).alias("wanted")), "wanted")
 
     def run(batches):
         for batch in slices(batches, 128):
-            rows = []
+            roots, nodes, sets = [], [], []
             for text, own in zip(*lists(batch, "text", "wanted")):
-                _, words, ends = split(text, reach)
-                names = nodes_of(words, ends)
                 for w in own:
+                    words = words_of((text or "")[w["begin"]:w["stop"]])
                     # Repeated rows of an id may hold another text.
-                    n = w["number"]
-                    if n < len(names) and w["node"] == names[n]:
-                        part = shingles_of(words[ends[n]:ends[n + 1]], shingle)
-                        rows.append((w["root"], w["node"], np.unique(part).tobytes()))
-            kinds = [pa.int64(), pa.int64(), pa.binary()]
+                    if w["node"] in nodes_of(words, np.unique([0, len(words)])):
+                        roots.append(w["root"])
+                        nodes.append(w["node"])
+                        sets.append(np.unique(shingles_of(words, shingle)).view(np.int64))
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            flat = np.concatenate([np.zeros(0, np.int64), *sets])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(list(zip(*rows)) or [[]] * 3, kinds)],
+                [pa.array(roots, pa.int64()), pa.array(nodes, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
                 ["root", "node", "shingles"])
     sets = staged(keyed(docs, "text").join(wanted, "id").select("text", "wanted").mapInArrow(
-        run, "root long, node long, shingles binary").dropDuplicates(["node"]), "sets")
-    sizes = sets.groupBy("root").agg(F.count("*").alias("n"))
-    blocks = F.ceil(F.col("n") / F.lit(block)).cast("long")
-    dealt = (sets.join(sizes.filter("n > 1"), "root")
-             .withColumn("own", F.pmod(F.xxhash64("node"), blocks))
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))))
-    members = dealt.groupBy("root", F.least("own", "other").alias("lo"),
-                            F.greatest("own", "other").alias("hi")).agg(
-        F.collect_list(F.struct("node", "shingles", (F.col("own") <= F.col("other")).alias("first")))
-        .alias("members"))
+        run, "root long, node long, shingles array<long>").dropDuplicates(["node"]), "sets")
     # Groups are small in bytes and long in work: they are dealt over many tasks, not gathered.
     tasks = docs.sparkSession.sparkContext.defaultParallelism * 8
-    return _verified(members.filter(F.size("members") > 1).repartition(tasks), similarity)
+    return _verified(candidate_groups(sets, similarity, block).repartition(tasks), similarity)
 
 
 def repeated(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY,

@@ -222,6 +222,29 @@ def test_large_candidate_groups_are_compared_by_blocks(spark):
     assert brute_components(nodes, as_pairs(small)) == brute_components(nodes, as_pairs(whole))
 
 
+def test_rows_compared_do_not_grow_with_the_square_of_a_candidate_group(spark):
+    """Sets that chance ties to one root: few meet, and every similar pair does."""
+    rng = np.random.default_rng(14)
+    base = [rng.choice(10 ** 6, 10, replace=False).astype(np.int64) for _ in range(200)]
+    sets = [np.append(b, 7) for b in base] + [np.append(b[1:], 7) for b in base[:60]]
+    table = spark.createDataFrame(
+        [(5, k, x.tolist()) for k, x in enumerate(sets)],
+        "root long, node long, shingles array<long>")
+    got = [[m["node"] for m in r["members"]]
+           for r in paragraphs.candidate_groups(table, 0.8, block=16).collect()]
+    assert max(map(len, got)) <= 2 * 16 and sum(map(len, got)) <= 4 * len(sets)
+    met = {(a, b) for g in got for a in g for b in g if a < b}
+    assert {(k, 200 + k) for k in range(60)} <= met
+    found = paragraphs._verified(paragraphs.candidate_groups(table, 0.8, block=16), 0.8)
+    assert {tuple(sorted(r)) for r in found.collect()} == {(k, 200 + k) for k in range(60)}
+
+
+def test_word_spans_match_a_pattern(corpus):
+    for text in [*corpus.values(), "", " ", "a", " a\x1cb\x85c\u3000d\u200be\U0001f600 ", "\x00 \n"]:
+        want = [m.span() for m in re.finditer(r"\S+", text or "")]
+        assert [tuple(x) for x in paragraphs.word_spans(text or "").tolist()] == want
+
+
 def test_paragraphs_odd(odd, empty):
     got = rows(paragraphs.repeated(odd))
     assert {r["doc_id"] for r in got} >= {5, 7}
