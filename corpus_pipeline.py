@@ -62,9 +62,13 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents, packed into sequences."""
-    return packing.packed(docs, BYTE_BPE)
+    # The executors still hold what the stages before have grown to: fewer words are kept.
+    return packing.packed(docs, BYTE_BPE, remembered=REMEMBERED)
 
 
+# Words whose ids a worker of the last stage keeps between batches.
+REMEMBERED = 200_000
+
 STAGES = [
     ("language_id", language_id),
     ("simhash_near_dedup", simhash_near_dedup),

@@ -36,8 +36,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_PER_BATCH):
-    """Arrow batches, cut into short ones."""
+    """Arrow batches, cut into short ones.
+
+    Workers live on after their tasks: what Arrow holds of earlier batches goes back first.
+    """
     for batch in batches:
+        pa.default_memory_pool().release_unused()
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sonde.llm.frames import keyed, lists, real_id, slices, staged
-from sonde.llm.tokens import shared_encoder
+from sonde.llm.tokens import REMEMBERED, shared_encoder
 
 CAPACITY, END_ID = 1024, 2
 
@@ -234,8 +234,8 @@ def placements(runs: list[Run]) -> dict[str, np.ndarray]:
     return dict(zip(["length", "first", "end", "each", "base", "offset"], cols))
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY,
-           end_id: int = END_ID) -> DataFrame:
+def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID,
+           remembered: int = REMEMBERED) -> DataFrame:
     """(id, piece, start, length, ids_crc32): each document's ids and the end id, cut from the end.
 
     Only documents of more than ``capacity`` ids are cut; all pieces but the first are full.
@@ -243,7 +243,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY,
     stop = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encoder = shared_encoder(path, "space")
+        encoder = shared_encoder(path, "space", remembered)
         for batch in slices(batches):
             ids, texts = lists(batch, "id", "text")
             out = []
@@ -263,14 +263,15 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY,
 
 
 def packed(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID,
-           schemes=SCHEMES) -> DataFrame:
+           schemes=SCHEMES, remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Sequences have no gaps from offset 0 and at most ``capacity`` ids.  A null or empty text is
     the end id alone; repeated rows are packed as often as they come; pieces of one length are
-    interchangeable, ties go by (doc_id, piece).
+    interchangeable, ties go by (doc_id, piece).  A worker keeps the ids of at most ``remembered``
+    words between batches, which changes its memory and time, not the result.
     """
-    cut = staged(pieces(docs, path, capacity, end_id), "pieces")
+    cut = staged(pieces(docs, path, capacity, end_id, remembered), "pieces")
     counts = {r["length"]: r["n"] for r in
               cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     table = placements(plan(counts, capacity, schemes))

@@ -1,8 +1,10 @@
 """Pieces that are remembered give the ids of one call for the whole text."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from sonde.llm import frames, packing
 from sonde.llm.queries import BYTE_BPE, WORD_BPE
 from sonde.llm.tokens import Encoder
 
@@ -32,3 +34,23 @@ def test_every_character_of_latin_texts(path, cut):
     for text, ids in zip(texts, encoder.encode(texts)):
         want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(ids, "<u4").tolist() == want, repr(text)
+
+
+def test_remembered_words_change_no_piece(docs):
+    as_rows = lambda df: sorted(map(tuple, df.collect()))
+    want = as_rows(packing.pieces(docs, BYTE_BPE))
+    assert as_rows(packing.pieces(docs, BYTE_BPE, remembered=500)) == want
+
+
+def test_arrow_gives_back_memory_between_batches(monkeypatch):
+    class Pool:
+        released = 0
+
+        def release_unused(self):
+            self.released += 1
+
+    pool = Pool()
+    monkeypatch.setattr(frames.pa, "default_memory_pool", lambda: pool)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10))], ["n"])
+    assert [s.num_rows for s in frames.slices(iter([batch, batch]), 4)] == [4, 4, 2] * 2
+    assert pool.released == 2
