@@ -27,6 +27,33 @@ def _byte_letters() -> dict[int, str]:
 _BYTE_LETTERS = _byte_letters()
 
 
+class _Known(dict):
+    """Ids of pieces.  What is missing is made by the library's model alone, for pieces that the
+    tokenizer would neither change nor cut; at ``most`` pieces the later half is forgotten.
+    """
+
+    def __init__(self, model, most: int):
+        super().__init__()
+        self.tokenize, self.most = model.tokenize, most
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= self.most:
+            self.make_room(1)
+        return self.learn(piece)
+
+    def learn(self, piece: str) -> bytes:
+        plain = piece.isascii() and piece.isalnum()  # written as it is
+        tokens = self.tokenize(piece if plain else piece.translate(_BYTE_LETTERS))
+        ids = self[piece] = b"".join([t.id.to_bytes(4, "little") for t in tokens])
+        return ids
+
+    def make_room(self, more: int) -> None:
+        if len(self) + more > self.most:
+            # What came first is what comes often: the later half goes.
+            for _ in range(len(self) // 2):
+                self.popitem()
+
+
 class Encoder:
     """Encodes whole texts; texts are cut where the tokenizer cuts anyway, and pieces are kept.
 
@@ -44,11 +71,11 @@ class Encoder:
     _LATIN = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017f"
     _RARE = re.compile(f"[^\\x00-\\x7f{_LATIN}]")
     # The rules by which the two kinds of vocabulary cut a text.
-    _ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
+    _ENDINGS = "'(?:[stmd]|re|ve|ll)"
     _RULES = {
-        "space": re.compile(f"{_ENDINGS}| ?[{_LATIN}]+| ?[0-9]+| ?[^\\s{_LATIN}0-9]+"
+        "space": re.compile(f" ?[{_LATIN}]+| ?[0-9]+|{_ENDINGS}| ?[^\\s{_LATIN}0-9]+"
                             r"|\s+(?!\S)|\s+"),
-        "drop": re.compile(f"{_ENDINGS}|[{_LATIN}]+|[0-9]|[^\\s{_LATIN}0-9]+")}
+        "drop": re.compile(f"[{_LATIN}]+|[0-9]|{_ENDINGS}|[^\\s{_LATIN}0-9]+")}
     # Spaces that touch other white space.
     _TOUCHING = ("  ", " \n", " \t", " \r", "\n ", "\t ", "\r ")
 
@@ -58,8 +85,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cut, self.remembered, self.known = cut, remembered, {}
-        self.model = self.tokenizer.model
+        self.cut, self.known = cut, _Known(self.tokenizer.model, remembered)
         if cut == "space":  # a byte-level token has one character for each of its bytes
             self.width = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
             for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
@@ -69,15 +95,17 @@ class Encoder:
             if len(self.mark) != 1:
                 raise ValueError("the vocabulary lacks a token for the mark between pieces")
 
-    def _pieces(self, text: str) -> list[str] | None:
+    def _by_rule(self, text: str) -> list[str] | None:
+        """Pieces that the tokenizer would neither change nor cut, where they are known."""
+        if self._ODD.search(text) or not (text.isascii() or not self._RARE.search(text)):
+            return None
+        return self._RULES[self.cut].findall(text.lower() if self.cut == "drop" else text)
+
+    def _at_spaces(self, text: str) -> list[str] | None:
         if self._ODD.search(text):
             return None
-        if text.isascii() or not self._RARE.search(text):
-            return self._RULES[self.cut].findall(text.lower() if self.cut == "drop" else text)
         if self.cut == "drop":
             return text.split()
-        if not text:
-            return []
         if text[0] == " " or text[-1] == " " or any(t in text for t in self._TOUCHING):
             return None
         first, *rest = text.split(" ")
@@ -101,21 +129,11 @@ class Encoder:
         data = ids.tobytes()
         return [data[4 * lo:4 * hi] for lo, hi in zip(starts.tolist(), cuts.tolist())]
 
-    def _merged(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces that the tokenizer would neither change nor cut: its model alone."""
-        found = [self.model.tokenize(p)
-                 for p in "\x01".join(pieces).translate(_BYTE_LETTERS).split("\x01")]
-        data = np.array([t.id for tokens in found for t in tokens], "<u4").tobytes()
-        ends = np.cumsum([4 * len(tokens) for tokens in found]).tolist()
-        return [data[lo:hi] for lo, hi in zip([0, *ends], ends)]
-
     def _learn(self, new: set[str]) -> None:
         whole = self._RULES[self.cut].fullmatch
-        ready = [p for p in new if whole(p) and not self._RARE.search(p)
-                 and (self.cut == "space" or p == p.lower())]
-        for at in range(0, len(ready), 1024):
-            part = ready[at:at + 1024]
-            self.known.update(zip(part, self._merged(part)))
+        for p in new:
+            if whole(p) and not self._RARE.search(p) and (self.cut == "space" or p == p.lower()):
+                self.known.learn(p)
         new = list(new.difference(self.known))
         if self.cut == "space":  # pieces without a space before them would grow together
             alone = [p for p in new if p[0] != " " or p[-1].isspace()]
@@ -131,18 +149,20 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers; null is empty."""
-        pieces = [self._pieces(t or "") for t in texts]
-        wanted = set().union(*filter(None, pieces))
-        new = wanted.difference(self.known)  # walks the wanted pieces, not all known ones
-        if len(self.known) + len(new) > self.remembered:
-            # What came first is what comes often: the later half goes.
-            for _ in range(len(self.known) // 2):
-                self.known.popitem()
-            new = wanted.difference(self.known)
-        self._learn(new)
-        look = self.known.__getitem__
-        return [self._ids(t).tobytes() if own is None else b"".join(map(look, own))
-                for t, own in zip(texts, pieces)]
+        look, out, others = self.known.__getitem__, [b""] * len(texts), {}
+        for i, text in enumerate(texts):
+            own = self._by_rule(text or "")
+            if own is None:
+                others[i] = self._at_spaces(text)
+            else:
+                out[i] = b"".join(map(look, own))
+        wanted = set().union(*filter(None, others.values()))
+        # These may have no ids by the model alone, so all are known before they are looked up.
+        self.known.make_room(len(wanted.difference(self.known)))
+        self._learn(wanted.difference(self.known))
+        for i, own in others.items():
+            out[i] = self._ids(texts[i]).tobytes() if own is None else b"".join(map(look, own))
+        return out
 
 
 @lru_cache(maxsize=2)

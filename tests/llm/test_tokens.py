@@ -54,3 +54,24 @@ def test_arrow_gives_back_memory_between_batches(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(range(10))], ["n"])
     assert [s.num_rows for s in frames.slices(iter([batch, batch]), 4)] == [4, 4, 2] * 2
     assert pool.released == 2
+
+
+@pytest.mark.parametrize("path, cut", [(BYTE_BPE, "space"), (WORD_BPE, "drop")])
+def test_texts_in_latin_letters_are_looked_up_once(path, cut, monkeypatch):
+    """New pieces are learned where they are met, not in a second walk over all pieces of a batch."""
+    encoder = Encoder(path, cut, 50)
+    monkeypatch.setattr(encoder, "_learn", lambda new: pytest.fail(str(new)) if new else None)
+    texts = [f"New word{i % 70}, x{i}é {i}." for i in range(200)]
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(
+            text, add_special_tokens=False).ids
+        assert len(encoder.known) <= 50
+
+
+def test_other_texts_keep_their_pieces_until_they_are_joined():
+    """Pieces that the model alone would write otherwise are not forgotten within a batch."""
+    encoder, texts = Encoder(WORD_BPE, "drop", 4), ["É́a ΣΑΣ b", "ΣΑΣ c d e f g h", "É́a ΣΑΣ i j k l m n o"]
+    for _ in range(3):
+        for text, ids in zip(texts, encoder.encode(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(
+                text, add_special_tokens=False).ids
