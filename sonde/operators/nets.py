@@ -1,8 +1,8 @@
 """The fit of ``pyspark.ml``'s layered net, with blocks of rows as arrays in Python workers.
 
-Objective, start, number of rounds and the rules that end the fit are those of the given estimator;
-every evaluation reads all rows, and Spark adds up the tasks' sums.  The weights become a model of
-the library, which scores.
+Start, number of rounds and tolerance are those of the given estimator; the objective is the mean log
+loss over rows (the library's: over blocks of rows).  Every evaluation reads all rows, and Spark adds
+up the tasks' sums.  The weights become a model of the library, which scores.
 """
 
 from __future__ import annotations
