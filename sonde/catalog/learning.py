@@ -274,8 +274,8 @@ def _mlp(t: Tables):
     if not losses[-1] < losses[0]:
         raise ValueError(f"the loss did not fall: {losses[0]} to {losses[-1]}")
     scored = model.transform(test)
-    walked = scored.select("event_id", models.walk_net(
-        INPUTS, models.net_weights(model)).alias("walked"))
+    walked = staged(scored.select("event_id", models.walk_net(
+        INPUTS, models.net_weights(model)).alias("walked")), "walked")
     return _agreed(scored, walked)
 
 
