@@ -28,10 +28,15 @@ def real_id(name: str = "id") -> Column:
     return F.when(F.col(name) != F.lit(NULL_ID), F.col(name))
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and scan it from there; lost tasks stop here."""
+def staged(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
+    """Write a table to the shared folder and scan it from there; lost tasks stop here.
+
+    A scan holds a group of rows at once: ``wide`` ones, of a megabyte or so, are written in small
+    groups.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    small = {"parquet.block.size": 4 << 20, "parquet.block.size.row.check.min": 1} if wide else {}
+    df.write.options(compression="zstd", **small).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from sonde.llm.frames import keyed, lists, real_id, slices, staged
 from sonde.operators.series import position
 
-# Anchors of a block, candidates of a chunk, and chunks that share one copy of the anchors.
-BLOCK, CHUNK, SHARED = 256, 4096, 16
+# Anchors of a block, candidates of a chunk, chunks of a part, and blocks of a team.
+BLOCK, CHUNK, SHARED, TEAM = 256, 4096, 16, 32
 
-# Chunks up to this many get copies of their own, so that small tables use all cores.
-SPREAD = 512
+# Up to this many parts hold fewer chunks than they may, so that small tables use all cores.
+SPREAD = 64
 
 # Negatives and positives asked for, and the window in percent of the positive's score.
 POSITIVES, NEGATIVES, LOW, HIGH = 5, 5, 80, 100
@@ -216,50 +216,46 @@ def _codes(batches):
                                          [*batch.schema.names, "code"])
 
 
-def _met(blocks: DataFrame, chunks: DataFrame, parts: int) -> DataFrame:
-    """Every block with every chunk, by the chunks' parts: blocks are copied once a part."""
-    copies = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    return copies.join(chunks, "part").select(*blocks.columns, "data")
-
-
-def _search(pairs: DataFrame, k: int, low: int = 0, high: int = 0) -> DataFrame:
-    """(block, anchor, positive, id, score): the best of each anchor (and positive), per task."""
-    negatives = "windows" in pairs.columns
-
-    def run(batches):
-        def flush():
-            rows = [(key, (i, j), b) for (i, j), b in best.items()]
-            which = [(i, p, n) for n, (_, (i, j), _) in enumerate(rows)
-                     for p in (block["owners"][i][j] if negatives else [0])]
-            columns = [np.repeat(key, sum(len(rows[n][2].ids) for _, _, n in which)),
-                       *(np.concatenate([np.zeros(0, np.int64), *[
-                           np.full(len(rows[n][2].ids), (i, p)[c]) for i, p, n in which]])
-                         for c in (0, 1)),
-                       np.concatenate([np.zeros(0, np.int64), *[rows[n][2].ids for *_, n in which]]),
-                       np.concatenate([np.zeros(0, np.int64),
-                                       *[rows[n][2].scores for *_, n in which]])]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns],
-                ["block", "anchor", "positive", "id", "score"])
-
-        key, block, best = None, None, {}
-        for batch in batches:
-            for at in range(batch.num_rows):
-                row = batch.slice(at, 1).to_pylist()[0]
-                if row["block"] != key:
-                    if best:
-                        yield flush()
-                    key, block, best = row["block"], _unpack(row["anchors"]), {}
-                    if negatives:
-                        block["asked"], block["owners"] = _windows(
-                            row["windows"], len(block["ids"]), low, high)
-                if negatives:
-                    _negatives(block, _unpack(row["data"]), best, k, low, high)
-                else:
-                    _positives(block, _unpack(row["data"]), best, k)
-        if best:
-            yield flush()
-    found = pairs.mapInArrow(run, "block long, anchor long, positive long, id long, score long")
+def _met(blocks: DataFrame, chunks: DataFrame, parts: int, teams: int):
+    """Every team of blocks beside every part of chunks: a task holds one of each, never the copies."""
+    copies = blocks.withColumns({"team": (F.col("block") % teams).cast("int"), "part": F.explode(
+        F.sequence(F.lit(0), F.lit(parts - 1)))})
+    theirs = chunks.withColumn("team", F.explode(F.sequence(F.lit(0), F.lit(teams - 1))))
+    return copies.groupBy("part", "team").cogroup(theirs.groupBy("part", "team"))
+
+
+_FOUND = ["block", "anchor", "positive", "id", "score"]
+
+
+def _search(met, k: int, spans: tuple[int, int] | None = None) -> DataFrame:
+    """(block, anchor, positive, id, score): the best of each anchor and, with ``spans``, positive."""
+    def searched(key: int, block: dict, chunks: pa.Table) -> list[np.ndarray]:
+        best: dict = {}
+        for data in chunks["data"]:
+            if spans:
+                _negatives(block, _unpack(data.as_py()), best, k, *spans)
+            else:
+                _positives(block, _unpack(data.as_py()), best, k)
+        which = [(i, p, b) for (i, j), b in best.items()
+                 for p in (block["owners"][i][j] if spans else [0])]
+        sizes = [len(b.ids) for *_, b in which]
+        return [np.full(sum(sizes), key), *(np.repeat(np.array([w[c] for w in which], np.int64), sizes)
+                                            for c in (0, 1)),
+                *(np.concatenate([np.zeros(0, np.int64), *parts]) for parts in (
+                    [b.ids for *_, b in which], [b.scores for *_, b in which]))]
+
+    def run(blocks: pa.Table, chunks: pa.Table) -> pa.Table:
+        found = [[np.zeros(0, np.int64)] * len(_FOUND)]
+        for at in range(blocks.num_rows if chunks.num_rows else 0):
+            row = blocks.slice(at, 1).to_pylist()[0]
+            block = _unpack(row["anchors"])
+            if spans:
+                block["asked"], block["owners"] = _windows(row["windows"], len(block["ids"]), *spans)
+            found.append(searched(row["block"], block, chunks))
+        return pa.table({c: pa.array(np.concatenate(parts), pa.int64())
+                         for c, parts in zip(_FOUND, zip(*found))})
+
+    found = met.applyInArrow(run, ", ".join(f"{c} long" for c in _FOUND))
     first = Window.partitionBy("block", "anchor", "positive").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= k)
 
@@ -301,8 +297,8 @@ def hard_negatives(vectors: DataFrame, anchor: Column, label: Column, positives:
     range of long.  Without rows or anchors the result is empty.
 
     Anchors meet all rows, in blocks: a pair of a block and a chunk of rows is one step of a task,
-    which keeps only the best of each anchor.  Groups are even by construction, whatever the
-    labels are.
+    which keeps only the best of each anchor.  A task holds a team of blocks and a part of the
+    chunks, both of bounded size.  Groups are even by construction, whatever the labels are.
     """
     parts = F.col("embedding")
     sound = (F.col("label").isNotNull() & parts.isNotNull()
@@ -317,7 +313,7 @@ def hard_negatives(vectors: DataFrame, anchor: Column, label: Column, positives:
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("id", "label", "v"), F.lit(chunks)))
     dealt = dealt.withColumn("part", (F.col("chunk") % shared).cast("int"))
     data = staged(dealt.select("id", "label", "v", "chunk", "part").groupBy("chunk").applyInArrow(
-        _chunk, "part int, data binary"), "chunks")
+        _chunk, "part int, data binary"), "chunks", wide=True)
 
     anchors = rows.filter("asks").select("id", "label", "v")
     coded = staged(anchors.mapInArrow(_codes, "id long, label long, v array<double>, code long"),
@@ -325,11 +321,12 @@ def hard_negatives(vectors: DataFrame, anchor: Column, label: Column, positives:
     placed = position(coded, [], ["code", "id", "label", "v"], "place", 1 << 16)
     blocks = staged(placed.withColumn("block", F.expr(f"place DIV {block}")).select(
         "id", "label", "v", "place", "block").groupBy("block").applyInArrow(
-        _block, "block long, anchors binary"), "blocks")
-    best = staged(_search(_met(blocks, data, shared), positives), "positives")
+        _block, "block long, anchors binary"), "blocks", wide=True)
+    teams = max(1, -(-blocks.count() // TEAM))
+    best = staged(_search(_met(blocks, data, shared, teams), positives), "positives")
     asked = best.groupBy("block").agg(F.collect_list(
         F.struct("anchor", "rank", "score")).alias("windows"))
-    found = _search(_met(blocks.join(asked, "block"), data, shared), negatives, low, high)
+    found = _search(_met(blocks.join(asked, "block"), data, shared, teams), negatives, (low, high))
 
     place = F.col("place") % block
     names = placed.select(F.expr(f"place DIV {block}").alias("block"),

@@ -123,3 +123,21 @@ def test_bounds_spare_scores():
         assert (scores == truth[i, places]).all()
         seen[i, places] = True
     assert seen[truth >= 60_000].all() and seen.sum() < 30 * 30
+
+
+def test_a_task_holds_no_copies_of_the_anchors(spark, monkeypatch):
+    """Blocks are not copied to every chunk, neither in a broadcast nor in a task's rows."""
+    seen, met = [], negatives._met
+
+    def noted(*args):
+        out = met(*args)
+        plan = out.applyInArrow(lambda a, b: a.select(["part"]), "part int")._jdf
+        seen.append(plan.queryExecution().executedPlan().toString())
+        return out
+    monkeypatch.setattr(negatives, "_met", noted)
+    monkeypatch.setattr(negatives, "TEAM", 2)
+    data = [(i * 10, [float(i % 7), float(i % 5) - 2.0], i % 3) for i in range(400)]
+    monkeypatch.setattr(negatives.hard_negatives, "__defaults__", (5, 5, 80, 100, 256, 8, 64))
+    assert compare(spark.createDataFrame(data, "vec_id long, embedding array<double>, label int"))
+    assert len(seen) == 2 and all("FlatMapCoGroupsInArrow" in p for p in seen)
+    assert "Broadcast" not in seen[0]
