@@ -203,3 +203,32 @@ def test_gradients_are_made_once_a_round_in_bounded_blocks(spark):
         assert (sums[0, f, :, 1] == np.bincount(bins, minlength=8) * (boosting.UNIT / 4)).all()
         assert (sums[0, f, :, 2] == np.bincount(bins, minlength=8)).all()
     assert lost[0] == pytest.approx(140_000 * np.log(2))
+
+
+@pytest.mark.parametrize("classes", [None, [0, 1, 2, 3]])
+def test_a_class_alone_gives_the_same_trees(points, monkeypatch, classes):
+    """One task a class against a job a level; also for a class without rows."""
+    _, _, _, df = points
+    s = boosting.Settings(rounds=4, depth=3, bins=8, least=2, loss="ovr")
+    alone = boosting.fit(df.repartition(3), ["a", "b", "c"], "y", s, classes=classes)
+    monkeypatch.setattr(boosting, "ALONE", 0)
+    together = boosting.fit(df, ["a", "b", "c"], "y", s, classes=classes)
+    assert list(alone.rows()) == list(together.rows())
+    assert [v["all"] for v in alone.losses] == pytest.approx([v["all"] for v in together.losses])
+
+
+def test_one_vs_rest_is_boosted_together_and_scored_by_the_library(points, monkeypatch):
+    x, y, _, df = points
+    calls, fit = [], boosting.fit
+    monkeypatch.setattr(boosting, "fit", lambda *a, **k: calls.append(fit(*a, **k)) or calls[-1])
+    estimator = models.boosted_one_vs_rest(6, 3)
+    model = models.fit_on(df.withColumn("a", F.when(F.col("id") > 0, F.col("a"))), ["a", "b", "c"],
+                          estimator, "y")
+    trees = calls[0]
+    assert len(calls) == 1 and trees.settings == boosting.Settings(6, 3, 0.1, 32, loss="ovr")
+    out = model.transform(df).select("y", "prediction", vector_to_array("rawPrediction").alias("raw"),
+                                     trees.probabilities("all").alias("p")).collect()
+    assert all(r["prediction"] == np.argmax(r["p"]) for r in out)
+    assert np.allclose([[1 / (1 + np.exp(-2 * v)) for v in r["raw"]] for r in out], [r["p"] for r in out])
+    assert np.mean([r["prediction"] == r["y"] for r in out]) > 0.85
+    assert not models.boosts_one_vs_rest(models.forest())
