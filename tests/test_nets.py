@@ -76,3 +76,21 @@ def test_walk_takes_batches(spark, rows):
     assert got[1] == [None] * 3 and all(sum(got[i]) == pytest.approx(1) for i in (0, 2))
     assert odd.filter("false").select(models.walk_net(
         ["a", "b", "c"], models.net_weights(model)).alias("w")).collect() == []
+
+
+def test_rows_are_kept_in_single_precision_where_it_holds_them(spark):
+    """Sums of layers stay close to those of doubles, and are added up in doubles."""
+    r = np.random.default_rng(2)
+    sizes, flat = [3, 20, 4], r.normal(size=4 * 20 + 21 * 4)
+    data = np.concatenate([r.normal(size=(5000, 3)), r.integers(0, 4, (5000, 1))], 1)
+    df = spark.createDataFrame([tuple(map(float, row)) for row in data], "x0 double, x1 double, x2 double, y double")
+    kept = nets._packed(df)
+    blocks = kept.collect()
+    kept.unpersist()
+    assert {b.dtype for b in blocks} == {np.dtype(np.float32)}
+    one, two = nets.sums(sizes, flat, blocks), nets.sums(sizes, flat, [data])
+    assert one.dtype == np.float64 and one[1] == 5000 and one[0] == pytest.approx(two[0], rel=1e-6)
+    assert np.linalg.norm(one - two) < 1e-5 * np.linalg.norm(two)
+    wide = nets._packed(df.withColumn("x0", F.lit(1e300)))
+    assert {b.dtype for b in wide.collect()} == {np.dtype(np.float64)}
+    wide.unpersist()
